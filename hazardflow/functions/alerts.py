@@ -18,11 +18,13 @@ def prob_of(probability: str = "probability", cls: int = 1) -> Column:
 
 
 def level_label(number: Column, levels: dict[int, str] = FLOOD_LEVELS) -> Column:
-    """Level name of a level number; unknown numbers have no name."""
-    expr = None
-    for num, name in levels.items():
-        expr = F.when(number == num, name) if expr is None else expr.when(number == num, name)
-    return expr
+    """Level name of a level number; unknown numbers have no name.
+
+    A lookup evaluates the number once. Chained conditions would repeat its whole expression
+    wherever a filter on the label is pushed down.
+    """
+    pairs = [F.lit(x) for pair in levels.items() for x in pair]
+    return F.element_at(F.create_map(*pairs), number.cast("int"))
 
 
 def flood_level_num() -> Column:

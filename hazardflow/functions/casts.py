@@ -33,9 +33,8 @@ def to_numeric(c: Column | str) -> Column:
 
 
 def known(c: Column | str) -> Column:
-    """Numeric value with NaN turned into null, so one null test covers both."""
-    c = as_column(c)
-    return F.when(~F.isnan(c), c)
+    """Double value with NaN turned into null, so one null test covers both."""
+    return F.nanvl(as_column(c).cast("double"), F.lit(None).cast("double"))
 
 
 def local_to_utc(df: DataFrame, name: str, zone: str, output: str | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazardflow.functions.casts import known
+from hazardflow.functions.casts import known, to_numeric
 
 # Variables with neighbour features, class bounds, ratio guard.
 PAIRED_VARIABLES = ["ELEV", "SLP", "EVT", "EVH", "EVC", "CBD", "CBH", "CC"]
@@ -16,7 +16,7 @@ RATIO_GUARD = 1e-6
 
 def fire_target(df: DataFrame, source: str = "frp", output: str = "frp_class") -> DataFrame:
     """Class 0/1/2 by radiative power; unknown power has no class."""
-    frp = known(F.col(source).try_cast("double"))
+    frp = known(to_numeric(source))
     label = F.when(frp < FRP_MEDIUM, 0).when(frp < FRP_HIGH, 1).when(frp >= FRP_HIGH, 2)
     return df.withColumn(output, label)
 

@@ -80,6 +80,15 @@ def long_form(df: DataFrame, ids: list[str], names: list[str], key: str, value:
     return wide.unpivot(ids, names, key, value)
 
 
+def computed_once(df: DataFrame) -> DataFrame:
+    """The same rows, with later filters kept above this point.
+
+    Filters are otherwise pushed below projections and repeat their expressions there, which is
+    costly when those run a model.
+    """
+    return df.select(F.inline(F.array(F.struct(*[quoted(c) for c in df.columns]))))
+
+
 def entries(row: DataFrame, names: list[str], fields: dict) -> DataFrame:
     """Turn one aggregate row into one row per column name.
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardflow.functions.casts import known, quoted
-from hazardflow.operators.order import before_sums, bucket_of
+from hazardflow.operators.order import before_sums, bucket_of, every
 
 CUTS = 256
 SKETCH_ACCURACY = 10_000
@@ -56,6 +56,10 @@ def classification_metrics(
     )
 
 
+def _doubles(values: list[float]) -> Column:
+    return F.array(*[F.lit(v) for v in values]).cast("array<double>")
+
+
 def auc(df: DataFrame, score: str = "prob_flood", label: str = "label") -> DataFrame:
     """Exact area under the ROC curve by rank sums, ties counted half.
 
@@ -64,19 +68,20 @@ def auc(df: DataFrame, score: str = "prob_flood", label: str = "label") -> DataF
     class is absent.
     """
     rows = df.select(
-        known(quoted(score).cast("double")).alias("score"),
+        known(score).alias("score"),
         quoted(label).cast("double").alias("label"),
-    ).dropna()
+    )
     shares = [i / CUTS for i in range(1, CUTS)]
     found = rows.agg(F.percentile_approx("score", shares, SKETCH_ACCURACY).alias("cuts")).first()
-    cuts = F.array(*[F.lit(c) for c in sorted(set(found["cuts"] or []))]).cast("array<double>")
+    cuts = sorted(set(found["cuts"] or []))
     by_score = (
         rows.groupBy("score")
         .agg(
-            F.count_if(F.col("label") == 1).alias("pos"),
-            F.count_if(F.col("label") != 1).alias("neg"),
+            # Rows without a score weigh nothing; filtering them would repeat the score.
+            F.count_if((F.col("label") == 1) & F.col("score").isNotNull()).alias("pos"),
+            F.count_if((F.col("label") != 1) & F.col("score").isNotNull()).alias("neg"),
         )
-        .withColumn("bucket", bucket_of(F.col("score"), cuts))
+        .withColumn("bucket", bucket_of(F.col("score"), _doubles(cuts), _doubles(every(cuts))))
     )
     ranked = before_sums(by_score, [], "score", ["pos", "neg"], few_buckets=True)
     wins = F.sum(F.col("pos") * (F.col("before_neg") + F.col("neg") / 2))

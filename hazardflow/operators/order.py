@@ -33,7 +33,7 @@ class _Search:
     done: bool = False
 
     def value(self) -> Column:
-        x = known(quoted(self.column).cast("double"))
+        x = known(self.column)
         keep = self.inside()
         return x if keep is None else F.when(keep, x)
 
@@ -149,9 +149,22 @@ def _count(df: DataFrame, searches: list[_Search], brackets: dict) -> None:
         s.narrow(a, b, row[f"below{i}"], row[f"a{i}"], row[f"mid{i}"], row[f"b{i}"])
 
 
-def bucket_of(value: Column, bounds: Column) -> Column:
-    """Number of bounds below the value: a bucket that grows with the value."""
-    return F.size(F.filter(bounds, lambda b: b < value))
+STRIDE = 16
+
+
+def every(bounds: list[float]) -> list[float]:
+    """Every `STRIDE`-th bound, for the first step of `bucket_of`."""
+    return bounds[STRIDE - 1 :: STRIDE]
+
+
+def bucket_of(value: Column, bounds: Column, coarse: Column) -> Column:
+    """Number of sorted bounds below the value: a bucket that grows with the value.
+
+    Looks through the coarse bounds first and then through one stride of the fine ones.
+    """
+    start = F.size(F.filter(coarse, lambda b: b < value)) * STRIDE
+    near = F.slice(bounds, start + 1, F.lit(STRIDE))
+    return start + F.size(F.filter(near, lambda b: b < value))
 
 
 def before_sums(

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardflow.functions.casts import quoted, safe_double, safe_int
@@ -92,11 +92,17 @@ def to_points(df: DataFrame, spec: PointSpec, keep: list[str] | None = None) ->
 
 
 def dedup_points(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One point per identity `keys`: the last by `order` replaces the earlier ones."""
-    rest = [c for c in df.columns if c not in keys]
-    last = F.max_by(F.struct(*[quoted(c) for c in rest]), F.struct(*[quoted(c) for c in order]))
-    kept = df.groupBy(*keys).agg(last.alias("_last"))
-    return kept.select(*keys, "_last.*").select(*df.columns)
+    """One point per identity `keys`: the last by `order` replaces the earlier ones.
+
+    The limit on the row number is applied before the shuffle too, so each task sends at most
+    one row per identity and a hot identity stays small.
+    """
+    newest = Window.partitionBy(*keys).orderBy(*[quoted(c).desc() for c in order])
+    return (
+        df.withColumn("_place", F.row_number().over(newest))
+        .where(F.col("_place") == 1)
+        .drop("_place")
+    )
 
 
 def points_long(df: DataFrame, spec: PointSpec = FLOOD_POINTS) -> DataFrame:

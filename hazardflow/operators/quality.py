@@ -117,6 +117,9 @@ def describe(df: DataFrame, columns: list[str] | None = None, max_columns: int =
 # --- imputation -------------------------------------------------------------------------------
 
 
+LEARNT = ("median", "mode", "mean")
+
+
 @dataclass
 class Fills:
     """Fitted fill values, and the columns for which the data offered none."""
@@ -135,16 +138,16 @@ def fit_imputer(
     reach the driver. Fit on the training part to keep test rows out of the statistics.
     """
     present = {c: s for c, s in strategies.items() if c in df.columns}
-    pick = {k: [c for c, s in present.items() if s == k] for k in ("median", "mode", "mean")}
+    pick = {k: [c for c, s in present.items() if s == k] for k in LEARNT}
     constants = {c: s for c, s in present.items() if c not in sum(pick.values(), [])}
     found: dict[str, object] = dict(constants)
 
-    aggs = [F.avg(known(quoted(c).cast("double"))).alias(f"mean{i}")
+    aggs = [F.avg(known(c)).alias(f"mean{i}")
             for i, c in enumerate(pick["mean"])]
     if relative_error > 0:
         accuracy = max(1, round(1 / relative_error))
         aggs += [
-            F.percentile_approx(known(quoted(c).cast("double")), 0.5, accuracy).alias(f"med{i}")
+            F.percentile_approx(known(c), 0.5, accuracy).alias(f"med{i}")
             for i, c in enumerate(pick["median"])
         ]
     if aggs:
@@ -206,7 +209,12 @@ def apply_imputer(df: DataFrame, fills: Fills) -> DataFrame:
 def impute(
     df: DataFrame, strategies: dict[str, object], relative_error: float = 0.0
 ) -> DataFrame:
-    """Fit on the whole table and fill it."""
+    """Fit on the whole table and fill it; only columns with missing values are fitted."""
+    learnt = [c for c, s in strategies.items() if c in df.columns and s in LEARNT]
+    if learnt:
+        row = df.agg(*_missing_counts(df, learnt)).first()
+        whole = {c for i, c in enumerate(learnt) if row[f"m{i}"] == 0}
+        strategies = {c: s for c, s in strategies.items() if c not in whole}
     return apply_imputer(df, fit_imputer(df, strategies, relative_error))
 
 

@@ -2,21 +2,28 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazardflow.functions.casts import known, quoted
+from hazardflow.functions.casts import as_column, known, quoted
 
-# The first 8 hex digits of the digest give the row's position in [0, 1).
+# The first 8 hex digits of the digest are the row's position in [0, 1).
 DIGITS = 8
 
 
-def position(key: Column | str, seed: int = 42) -> Column:
-    """Position of a row in [0, 1), from its key alone: partitioning cannot change it."""
-    key = quoted(key) if isinstance(key, str) else key
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
-    number = F.conv(F.substring(digest, 1, DIGITS), 16, 10).cast("double")
-    return number / F.lit(float(16**DIGITS))
+def digest(key: Column | str, seed: int = 42) -> Column:
+    """Digest of a row's key: the same on every run, whatever the partitioning."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), as_column(key).cast("string")).cast("binary"))
+
+
+def before(digested: Column, edge: float) -> Column:
+    """Whether the position lies below `edge`, by comparing hex text: no conversion per row."""
+    bound = math.ceil(edge * 16**DIGITS)
+    if bound >= 16**DIGITS:
+        return F.lit(True)
+    return digested < F.lit(f"{bound:0{DIGITS}x}")
 
 
 def split(
@@ -28,12 +35,12 @@ def split(
 ) -> DataFrame:
     """Label every row with its part, in the given order and proportions. No shuffle."""
     total = sum(weights.values())
-    place = position(key, seed)
+    place = digest(key, seed)
     names = list(weights)
     label, edge = None, 0.0
     for name in names[:-1]:
         edge += weights[name] / total
-        test = place < F.lit(edge)
+        test = before(place, edge)
         label = F.when(test, name) if label is None else label.when(test, name)
     last = F.lit(names[-1])
     return df.withColumn(output, last if label is None else label.otherwise(last))
@@ -58,7 +65,7 @@ def fit_scaler(df: DataFrame, columns: list[str]) -> dict[str, tuple[float, floa
     """Mean and sample deviation per column, from one pass."""
     aggs = []
     for i, c in enumerate(columns):
-        x = known(quoted(c).cast("double"))
+        x = known(c)
         aggs += [F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}")]
     row = df.agg(*aggs).first()
     return {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(columns)}

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardflow.functions.casts import known, quoted
-from hazardflow.operators.order import before_sums, bucket_of
+from hazardflow.operators.order import before_sums, bucket_of, every
 from hazardflow.sources.schemas import ZONAL_STATS
 
+GROUP_ROWS = 100_000
 HOT_ROWS = 2_000_000
 HOT_ZONES = 1_000
 HOT_BUCKETS = 256
@@ -20,6 +21,7 @@ def zonal_stats(
     zone: str,
     variables: dict[str, Column | str] | list[str],
     stats: list[str] | None = None,
+    group_rows: int = GROUP_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per zone with a column `{V}_{stat}` for each variable and statistic.
@@ -27,41 +29,67 @@ def zonal_stats(
     Null and NaN cells are ignored; a zone without cells has count 0 and nulls. The median
     averages the two middle cells, the mode takes the smallest of equally frequent values.
 
-    Without median and mode this is one partial aggregate. With them, cells are first counted
-    per (zone, variable, value), and ranks come from running counts over those. Zones above
-    `hot_rows` cells are cut into value ranges, so no task sorts a whole hot zone.
+    Median and mode keep a zone's distinct values in memory, so the size of the largest zones
+    is checked first. Up to `group_rows` cells, everything is one aggregate. Beyond it, cells
+    are counted per (zone, variable, value) and ranks come from running counts over those;
+    zones above `hot_rows` cells are cut into value ranges, so no task sorts a whole hot zone.
     """
     if not isinstance(variables, dict):
         variables = {v: v for v in variables}
     stats = stats or ZONAL_STATS
     cells = df.select(
-        quoted(zone).alias("zone"),
-        *[
-            known((quoted(c) if isinstance(c, str) else c).cast("double")).alias(v)
-            for v, c in variables.items()
-        ],
+        quoted(zone).alias("zone"), *[known(c).alias(v) for v, c in variables.items()]
     )
     names = list(variables)
-    if not {"median", "mode"} & set(stats):
-        return _direct(cells, names, stats).withColumnRenamed("zone", zone)
-    return _ranked(cells, names, stats, hot_rows).withColumnRenamed("zone", zone)
+    largest = []
+    if {"median", "mode"} & set(stats):
+        largest = _largest_zones(cells, group_rows)
+    if largest:
+        hot = [z for z, n in largest if n > hot_rows and z is not None]
+        out = _ranked(cells, names, stats, _cuts(cells, names, hot))
+    else:
+        out = _direct(cells, names, stats)
+    return out.withColumnRenamed("zone", zone)
+
+
+def _largest_zones(cells: DataFrame, more_than: int) -> list[tuple]:
+    """(zone, cells) of the zones above a size, largest first, at most `HOT_ZONES`.
+
+    A zone beyond the largest thousand holds less than a thousandth of all cells, so the
+    bound costs nothing that matters.
+    """
+    sizes = cells.groupBy("zone").agg(F.count(F.lit(1)).alias("n"))
+    top = sizes.where(F.col("n") > more_than).orderBy(F.desc("n")).limit(HOT_ZONES)
+    return [(r["zone"], r["n"]) for r in top.collect()]
 
 
 def _direct(cells: DataFrame, names: list[str], stats: list[str]) -> DataFrame:
-    make = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.count, "mean": F.avg}
+    make = {
+        "max": F.max,
+        "min": F.min,
+        "median": lambda v: F.percentile(v, 0.5),
+        "sum": F.sum,
+        "mode": lambda v: F.mode(v, deterministic=True),
+        "count": F.count,
+        "mean": F.avg,
+    }
+    if {"median", "mode"} & set(stats):
+        # Cells travel once as plain rows; partial value counts would be larger.
+        cells = cells.repartition("zone")
     return cells.groupBy("zone").agg(
         *[make[s](v).alias(f"{v}_{s}") for v in names for s in stats]
     )
 
 
-def _ranked(cells: DataFrame, names: list[str], stats: list[str], hot_rows: int) -> DataFrame:
+def _ranked(
+    cells: DataFrame, names: list[str], stats: list[str], cuts: DataFrame | None
+) -> DataFrame:
     counted = (
         cells.unpivot(["zone"], names, "variable", "value")
         .groupBy("zone", "variable", "value")
         .agg(F.count("value").alias("cells"))
     )
-    bounds = _hot_bounds(cells, names, hot_rows)
-    if bounds is None:
+    if cuts is None:
         whole = Window.partitionBy("zone", "variable")
         earlier = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
         ranked = counted.withColumns(
@@ -71,10 +99,11 @@ def _ranked(cells: DataFrame, names: list[str], stats: list[str], hot_rows: int)
             }
         )
     else:
-        cut = counted.join(F.broadcast(bounds), ["zone", "variable"], "left").withColumn(
-            "bucket", F.coalesce(bucket_of(F.col("value"), F.col("bounds")), F.lit(0))
+        cut = counted.join(F.broadcast(cuts), ["zone", "variable"], "left").withColumn(
+            "bucket",
+            F.coalesce(bucket_of(F.col("value"), F.col("bounds"), F.col("coarse")), F.lit(0))
         )
-        ranked = before_sums(cut.drop("bounds"), ["zone", "variable"], "value", ["cells"])
+        ranked = before_sums(cut.drop("bounds", "coarse"), ["zone", "variable"], "value", ["cells"])
 
     # Ranks of the lower and upper middle cell; they are equal for odd counts.
     lower = F.floor((F.col("all_cells") + 1) / 2)
@@ -114,21 +143,12 @@ def _ranked(cells: DataFrame, names: list[str], stats: list[str], hot_rows: int)
     )
 
 
-def _hot_bounds(cells: DataFrame, names: list[str], hot_rows: int) -> DataFrame | None:
-    """Value cuts of the largest zones, or None when no zone is large.
+def _cuts(cells: DataFrame, names: list[str], hot: list) -> DataFrame | None:
+    """Value cuts of the hot zones, or None when there are none.
 
-    At most `HOT_ZONES` zones are cut, so what is collected and broadcast is bounded. A zone
-    beyond the largest thousand holds less than a thousandth of all cells. The cuts come from
-    sketches and only spread the work; they do not enter the result.
+    Zones and cuts are bounded in number, so collecting and broadcasting them is safe. The cuts
+    come from sketches and only spread the work; they do not enter the result.
     """
-    sizes = cells.groupBy("zone").agg(F.count(F.lit(1)).alias("n"))
-    hot = [
-        r["zone"]
-        for r in sizes.where((F.col("n") > hot_rows) & F.col("zone").isNotNull())
-        .orderBy(F.desc("n"))
-        .limit(HOT_ZONES)
-        .collect()
-    ]
     if not hot:
         return None
     spark = cells.sparkSession
@@ -141,9 +161,11 @@ def _hot_bounds(cells: DataFrame, names: list[str], hot_rows: int) -> DataFrame
         .agg(*[F.percentile_approx(v, shares, SKETCH_ACCURACY).alias(v) for v in names])
     )
     # Materialised once: a sketch may differ between evaluations, the cuts must not.
-    rows = [
-        (r["zone"], v, sorted(set(r[v] or []))) for r in sketched.collect() for v in names
-    ]
+    rows = []
+    for r in sketched.collect():
+        for v in names:
+            bounds = sorted(set(r[v] or []))
+            rows.append((r["zone"], v, bounds, every(bounds)))
     return spark.createDataFrame(
-        rows, f"zone {kind}, variable string, bounds array<double>"
+        rows, f"zone {kind}, variable string, bounds array<double>, coarse array<double>"
     )

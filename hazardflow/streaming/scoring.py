@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from hazardflow.functions.alerts import fire_alert, flood_alert, high_alerts, prob_of
 from hazardflow.functions.fire import fire_features
 from hazardflow.functions.flood import flood_features
-from hazardflow.operators.columns import align_features
+from hazardflow.operators.columns import align_features, computed_once
 from hazardflow.operators.forest import Fitted
 from hazardflow.operators.joins import enrich_location
 from hazardflow.operators.points import FIRE_POINTS, FLOOD_POINTS, to_points
@@ -31,7 +31,8 @@ def model_scorer(model: Transformer | Fitted, two_class: bool = True) -> Scorer:
             df = model.model.transform(df)
         else:
             df = model.transform(df)
-        return df.withColumn("prob_flood", prob_of()) if two_class else df
+        df = df.withColumn("prob_flood", prob_of()) if two_class else df
+        return computed_once(df)
 
     return run
 
