@@ -20,12 +20,14 @@ def zonal_stats(
     df: DataFrame,
     zone: str,
     variables: dict[str, Column | str] | list[str],
-    stats: list[str] | None = None,
+    stats: list[str] | dict[str, list[str]] | None = None,
     group_rows: int = GROUP_ROWS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One row per zone with a column `{V}_{stat}` for each variable and statistic.
 
+    `stats` lists the statistics of all variables, or maps each variable to its own.
+
     Null and NaN cells are ignored; a zone without cells has count 0 and nulls. The median
     averages the two middle cells, the mode takes the smallest of equally frequent values.
 
@@ -36,13 +38,14 @@ def zonal_stats(
     """
     if not isinstance(variables, dict):
         variables = {v: v for v in variables}
-    stats = stats or ZONAL_STATS
+    if not isinstance(stats, dict):
+        stats = {v: stats or ZONAL_STATS for v in variables}
     cells = df.select(
         quoted(zone).alias("zone"), *[known(c).alias(v) for v, c in variables.items()]
     )
     names = list(variables)
     largest = []
-    if {"median", "mode"} & set(stats):
+    if _needs_values(stats):
         largest = _largest_zones(cells, group_rows)
     if largest:
         hot = [z for z, n in largest if n > hot_rows and z is not None]
@@ -52,6 +55,10 @@ def zonal_stats(
     return out.withColumnRenamed("zone", zone)
 
 
+def _needs_values(stats: dict[str, list[str]]) -> bool:
+    return any({"median", "mode"} & set(wanted) for wanted in stats.values())
+
+
 def _largest_zones(cells: DataFrame, more_than: int) -> list[tuple]:
     """(zone, cells) of the zones above a size, largest first, at most `HOT_ZONES`.
 
@@ -63,7 +70,7 @@ def _largest_zones(cells: DataFrame, more_than: int) -> list[tuple]:
     return [(r["zone"], r["n"]) for r in top.collect()]
 
 
-def _direct(cells: DataFrame, names: list[str], stats: list[str]) -> DataFrame:
+def _direct(cells: DataFrame, names: list[str], stats: dict[str, list[str]]) -> DataFrame:
     make = {
         "max": F.max,
         "min": F.min,
@@ -73,16 +80,16 @@ def _direct(cells: DataFrame, names: list[str], stats: list[str]) -> DataFrame:
         "count": F.count,
         "mean": F.avg,
     }
-    if {"median", "mode"} & set(stats):
+    if _needs_values(stats):
         # Cells travel once as plain rows; partial value counts would be larger.
         cells = cells.repartition("zone")
     return cells.groupBy("zone").agg(
-        *[make[s](v).alias(f"{v}_{s}") for v in names for s in stats]
+        *[make[s](v).alias(f"{v}_{s}") for v in names for s in stats[v]]
     )
 
 
 def _ranked(
-    cells: DataFrame, names: list[str], stats: list[str], cuts: DataFrame | None
+    cells: DataFrame, names: list[str], stats: dict[str, list[str]], cuts: DataFrame | None
 ) -> DataFrame:
     counted = (
         cells.unpivot(["zone"], names, "variable", "value")
@@ -133,16 +140,39 @@ def _ranked(
         "count": F.col("count"),
         "mean": F.try_divide("sum", F.col("count").cast("double")),
     }
-    long = per_variable.select("zone", "variable", *[wanted[s].alias(s) for s in stats])
+    used = [s for s in wanted if any(s in listed for listed in stats.values())]
+    long = per_variable.select("zone", "variable", *[wanted[s].alias(s) for s in used])
     return long.groupBy("zone").agg(
         *[
             F.max(F.when(F.col("variable") == v, F.col(s))).alias(f"{v}_{s}")
             for v in names
-            for s in stats
+            for s in stats[v]
         ]
     )
 
 
+def with_neighbours(stats: DataFrame, zone: str, names: list[str], near: Column) -> DataFrame:
+    """Add `Neighbour_{c}` for the listed columns, from the zone that has this one beside it.
+
+    `near` is the zone that a row is the neighbour of. Each row is sent to its own zone and to
+    that one, and both halves meet in one aggregate: joining the statistics to themselves would
+    compute them twice. A zone must have at most one neighbour.
+    """
+    rest = [c for c in stats.columns if c != zone]
+    body = [F.struct(*[quoted(c) for c in rest]).alias("row")]
+    sent = F.array(
+        F.struct(quoted(zone).alias("zone"), F.lit(True).alias("own"), *body),
+        F.struct(near.alias("zone"), F.lit(False).alias("own"), *body),
+    )
+    halves = stats.select(F.explode(sent).alias("s")).select("s.zone", "s.own", "s.row.*")
+    met = halves.groupBy("zone").agg(
+        F.max("own").alias("_own"),
+        *[F.max(F.when(F.col("own"), quoted(c))).alias(c) for c in rest],
+        *[F.max(F.when(~F.col("own"), quoted(c))).alias(f"Neighbour_{c}") for c in names],
+    )
+    return met.where("_own").drop("_own").withColumnRenamed("zone", zone)
+
+
 def _cuts(cells: DataFrame, names: list[str], hot: list) -> DataFrame | None:
     """Value cuts of the hot zones, or None when there are none.
 

@@ -22,7 +22,7 @@ from hazardflow.operators import quality as Q
 from hazardflow.operators import reports as R
 from hazardflow.operators import split as S
 from hazardflow.operators.joins import enrich_location
-from hazardflow.operators.zonal import zonal_stats
+from hazardflow.operators.zonal import with_neighbours, zonal_stats
 from hazardflow.plans import flood as flood_plan
 from hazardflow.plans.fire import clean_fire, train_fire_job
 from hazardflow.plans.views import derive, table, view
@@ -66,36 +66,26 @@ def long_points(spark: SparkSession, d: str) -> DataFrame:
 
 def zone_features(spark: SparkSession, d: str) -> DataFrame:
     """Zones with their statistics, those of the next zone, and weather."""
-    cells = view(spark, d, "cells")
-    spread = zonal_stats(
-        cells, "zone", {v: v.lower() for v in fire.PAIRED_VARIABLES}, ["max", "min", "mean"]
+    spread = {v: ["max", "min", "mean"] for v in fire.PAIRED_VARIABLES}
+    stats = zonal_stats(
+        view(spark, d, "cells"), "zone", CELL_VARIABLES, {**spread, "CH": ["median"]}
     )
-    height = zonal_stats(cells, "zone", {"CH": "ch"}, ["median"])
-    neighbour = spread.select(
-        (F.col("zone") - 1).alias("zone"),
-        *[F.col(f"{v}_mean").alias(f"Neighbour_{v}_mean") for v in fire.PAIRED_VARIABLES],
-    )
-    joined = spread.join(height, "zone").join(neighbour, "zone", "left")
-    return joined.join(view(spark, d, "zone_weather"), "zone")
+    means = [f"{v}_mean" for v in fire.PAIRED_VARIABLES]
+    paired = with_neighbours(stats, "zone", means, F.col("zone") - 1)
+    return paired.join(view(spark, d, "zone_weather"), "zone")
 
 
 def fire_table(spark: SparkSession, d: str) -> DataFrame:
-    """Wide fire table under the full zonal grammar, one row per zone, keyed by `Polygon_ID`."""
+    """Wide fire table under the full zonal grammar, one row per zone, keyed by `polygon`."""
     stats = zonal_stats(view(spark, d, "cells"), "zone", CELL_VARIABLES)
-    weather = view(spark, d, "zone_weather")
     frp = view(spark, d, "dirty_frp").withColumnRenamed("fire_id", "zone")
-
-    def beside(df: DataFrame) -> DataFrame:
-        moved = (F.col("zone") - 1).alias("zone")
-        return df.select(
-            moved, *[F.col(c).alias(f"Neighbour_{c}") for c in df.columns if c != "zone"]
-        )
-
-    place = weather.select("zone", "Shape", "c_latitude", "acq_time")
-    near_frp = frp.select("zone", F.col("frp").try_cast("double").alias("frp"))
-    own = stats.join(weather, "zone").join(frp, "zone", "left")
-    near = beside(stats).join(beside(place), "zone").join(beside(near_frp), "zone", "left")
-    return own.join(near, "zone", "left").withColumnRenamed("zone", "polygon")
+    own = stats.join(view(spark, d, "zone_weather"), "zone").join(frp, "zone", "left")
+    near = [c for c in stats.columns if c != "zone"]
+    near += ["Shape", "c_latitude", "acq_time", "frp"]
+    paired = with_neighbours(own, "zone", near, F.col("zone") - 1)
+    return C.cast_columns(paired, {"Neighbour_frp": "double"}).withColumnRenamed(
+        "zone", "polygon"
+    )
 
 
 # --- quality ----------------------------------------------------------------------------------
@@ -459,8 +449,18 @@ def auc(spark, d):
     )
 
 
+def _training_partitions(spark: SparkSession) -> int:
+    return 2 * spark.sparkContext.defaultParallelism
+
+
+def _flood_run(spark, d):
+    return flood_plan.train_flood_job(
+        readings(spark, d), "reading_id", SMALL_FLOOD, partitions=_training_partitions(spark)
+    )
+
+
 def train_flood(spark, d):
-    run = flood_plan.train_flood_job(readings(spark, d), "reading_id", SMALL_FLOOD)
+    run = _flood_run(spark, d)
     named = [
         df.select(F.lit(n).alias("part"), "*")
         for n, df in (("validation", run.validation), ("test", run.test))
@@ -469,7 +469,7 @@ def train_flood(spark, d):
 
 
 def model_report(spark, d):
-    return flood_plan.train_flood_job(readings(spark, d), "reading_id", SMALL_FLOOD).report
+    return _flood_run(spark, d).report
 
 
 def score_flood_batch(spark, d):
@@ -477,7 +477,7 @@ def score_flood_batch(spark, d):
     filled = Q.impute(readings(spark, d), flood_plan.FLOOD_FILLS)
     gold = flood_plan.flood_gold(filled, "reading_id")
     path = files.scratch_dir(spark, "flood-model")
-    M.save_model(M.train_flood(gold, SMALL_FLOOD), path)
+    M.save_model(M.train_flood(gold, SMALL_FLOOD, partitions=_training_partitions(spark)), path)
     rows = M.score(gold, M.load_model(spark, path)).withColumn("prob_flood", A.prob_of())
     return A.flood_alert(rows).select(
         "reading_id", "prediction", "prob_flood", "alert_level", "alert_level_num"
@@ -486,7 +486,9 @@ def score_flood_batch(spark, d):
 
 def _fire_model(spark, d):
     gold = fire.fire_features(fire.fire_target(clean_fire(fire_table(spark, d))))
-    return train_fire_job(gold, "polygon", SMALL_FIRE)
+    return train_fire_job(
+        gold, "polygon", SMALL_FIRE, partitions=_training_partitions(spark)
+    )
 
 
 def train_fire(spark, d):

@@ -37,11 +37,12 @@ def train_fire_job(
     key: str,
     params: dict | None = None,
     seed: int = 42,
+    partitions: int | None = None,
 ) -> tuple[Fitted, DataFrame]:
     """Split 80/20 by row key, train on all feature columns, evaluate on the rest."""
     parts = split_two(gold, key, seed)
     features = feature_columns(gold, [*FIRE_NOT_FEATURES, key])
-    fitted = train_fire(part(parts, "train"), features, params)
+    fitted = train_fire(part(parts, "train"), features, params, partitions)
     return fitted, evaluate(score(part(parts, "test"), fitted), FIRE_TARGET)
 
 

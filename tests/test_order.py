@@ -96,6 +96,21 @@ def test_zonal_totals_use_one_shuffle(spark):
     assert plan.executedPlan().toString().count("Exchange") == 1
 
 
+def test_neighbours_without_a_join(spark, rows):
+    df = spark.createDataFrame([(1, 1.0, "a"), (2, 2.0, "b"), (4, 4.0, None)], "z int, x double, t string")
+    got = zonal.with_neighbours(df, "z", ["x"], F.col("z") - 1)
+    assert rows(got) == [(1, 1.0, "a", 2.0), (2, 2.0, "b", None), (4, 4.0, None, None)]
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_statistics_per_variable(spark):
+    df = spark.createDataFrame(zone_rows(10), "zone int, a double, b double")
+    wanted = {"A": ["max"], "B": ["median", "count"]}
+    for limits in ({}, {"group_rows": 1}):
+        got = zonal.zonal_stats(df, "zone", {"A": "a", "B": "b"}, wanted, **limits)
+        assert got.columns == ["zone", "A_max", "B_median", "B_count"]
+
+
 def pair_auc(data):
     pos = [s for s, y in data if y == 1 and s is not None]
     neg = [s for s, y in data if y == 0 and s is not None]
