@@ -48,7 +48,7 @@ def zonal_stats(
     if _needs_values(stats):
         largest = _largest_zones(cells, group_rows)
     if largest:
-        hot = [z for z, n in largest if n > hot_rows and z is not None]
+        hot = [z for z, n in largest if n > hot_rows]
         out = _ranked(cells, names, stats, _cuts(cells, names, hot))
     else:
         out = _direct(cells, names, stats)
@@ -106,11 +106,12 @@ def _ranked(
             }
         )
     else:
-        cut = counted.join(F.broadcast(cuts), ["zone", "variable"], "left").withColumn(
+        same = F.col("zone").eqNullSafe(F.col("hot")) & (F.col("variable") == F.col("of"))
+        cut = counted.join(F.broadcast(cuts), same, "left").withColumn(
             "bucket",
             F.coalesce(bucket_of(F.col("value"), F.col("bounds"), F.col("coarse")), F.lit(0))
         )
-        ranked = before_sums(cut.drop("bounds", "coarse"), ["zone", "variable"], "value", ["cells"])
+        ranked = before_sums(cut.drop("hot", "of", "bounds", "coarse"), ["zone", "variable"], "value", ["cells"])
 
     # Ranks of the lower and upper middle cell; they are equal for odd counts.
     lower = F.floor((F.col("all_cells") + 1) / 2)
@@ -183,10 +184,10 @@ def _cuts(cells: DataFrame, names: list[str], hot: list) -> DataFrame | None:
         return None
     spark = cells.sparkSession
     kind = cells.schema["zone"].dataType.simpleString()
-    listed = spark.createDataFrame([(z,) for z in hot], f"zone {kind}")
+    listed = spark.createDataFrame([(z,) for z in hot], f"hot {kind}")
     shares = [i / HOT_BUCKETS for i in range(1, HOT_BUCKETS)]
     sketched = (
-        cells.join(F.broadcast(listed), "zone", "left_semi")
+        cells.join(F.broadcast(listed), F.col("zone").eqNullSafe(F.col("hot")), "left_semi")
         .groupBy("zone")
         .agg(*[F.percentile_approx(v, shares, SKETCH_ACCURACY).alias(v) for v in names])
     )
@@ -197,5 +198,5 @@ def _cuts(cells: DataFrame, names: list[str], hot: list) -> DataFrame | None:
             bounds = sorted(set(r[v] or []))
             rows.append((r["zone"], v, bounds, every(bounds)))
     return spark.createDataFrame(
-        rows, f"zone {kind}, variable string, bounds array<double>, coarse array<double>"
+        rows, f"hot {kind}, of string, bounds array<double>, coarse array<double>"
     )

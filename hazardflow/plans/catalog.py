@@ -532,9 +532,11 @@ def multiline_csv(spark, d):
 
 
 def table_stream(spark: SparkSession, d: str, name: str) -> DataFrame:
-    """A base table as a stream of files."""
+    """A base table, one file or a folder of them, as a stream of files."""
     schema = table(spark, d, name).schema
-    return messages.message_stream(spark, "parquet", {"path": f"{d}/{name}*.parquet"}, None, schema)
+    # The pattern matches just this name; a plain path would have to be a folder.
+    path = f"{d}/{name}[.]parquet"
+    return messages.message_stream(spark, "parquet", {"path": path}, schema=schema)
 
 
 def flood_messages(spark: SparkSession, d: str) -> DataFrame:
