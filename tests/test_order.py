@@ -71,6 +71,10 @@ def brute(data, zone, i):
     return (v[-1], v[0], statistics.median(v), sum(v), mode, len(v), sum(v) / len(v))
 
 
+def same(x, y):
+    return x == y if x is None or y is None else math.isclose(x, y, rel_tol=1e-12)
+
+
 @pytest.mark.parametrize(
     "limits",
     [
@@ -89,7 +93,7 @@ def test_zonal_stats_on_every_path(spark, limits):
         for i, v in ((1, "A"), (2, "B")):
             want = brute(data, row.zone, i)
             have = tuple(row[f"{v}_{s}"] for s in zonal.ZONAL_STATS)
-            assert have == pytest.approx(want, rel=1e-12), (row.zone, v)
+            assert all(map(same, have, want)), (row.zone, v, have, want)
 
 
 def test_zonal_totals_use_one_shuffle(spark):
