@@ -37,6 +37,19 @@ def known(c: Column | str) -> Column:
     return F.nanvl(as_column(c).cast("double"), F.lit(None).cast("double"))
 
 
+EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+
+
+def utc_instant(name: str) -> Column:
+    """Naive UTC wall time as an instant, whatever the session's zone."""
+    return F.timestamp_seconds(F.lit(0)) + (quoted(name) - F.expr(EPOCH))
+
+
+def utc_wall(name: str) -> Column:
+    """Instant as naive UTC wall time, whatever the session's zone."""
+    return F.expr(EPOCH) + (quoted(name) - F.timestamp_seconds(F.lit(0)))
+
+
 def local_to_utc(df: DataFrame, name: str, zone: str, output: str | None = None) -> DataFrame:
     """Wall-clock time of `zone` to UTC wall-clock time.
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from hazardflow.functions.casts import utc_instant, utc_wall
 from hazardflow.operators.points import windowed_mean
 
 
@@ -36,9 +37,10 @@ def windowed_mean_stream(
 ) -> DataFrame:
     """Tumbling means over event time. A window is emitted once the watermark passes its end.
 
-    Watermarks need a zoned timestamp, so naive event times are read as session time and the
-    window stop is given back as the session's wall-clock time.
+    Point times are UTC. Watermarks need an instant, so naive times are turned into one and the
+    window stop is given back as naive UTC time.
     """
-    timed = points_long.withColumn("time", F.col("time").cast("timestamp"))
+    naive = isinstance(points_long.schema["time"].dataType, T.TimestampNTZType)
+    timed = points_long.withColumn("time", utc_instant("time")) if naive else points_long
     means = windowed_mean(timed.withWatermark("time", lateness), every, **options)
-    return means.withColumn("time", F.col("time").cast("timestamp_ntz"))
+    return means.withColumn("time", utc_wall("time"))

@@ -199,3 +199,18 @@ def test_local_to_utc(spark):
 def test_zoned_time_is_an_instant(spark):
     df = spark.sql("select timestamp '2024-01-15 12:00:00' as t")
     assert casts.local_to_utc(df, "t", "Africa/Casablanca").first().t == datetime(2024, 1, 15, 12)
+
+
+def test_utc_times_do_not_depend_on_the_session_zone(spark):
+    # 02:30 does not exist in New York on this day, and 01:30 exists twice in November.
+    walls = [datetime(2024, 3, 10, 2, 30), datetime(2024, 11, 3, 1, 30), datetime(1960, 1, 1)]
+    df = spark.createDataFrame([(w,) for w in walls], "t timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        there = df.select("t", casts.utc_instant("t").alias("i"))
+        back = there.select("t", casts.utc_wall("i").alias("w"), F.unix_micros("i").alias("u"))
+        rows = back.collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [r.w for r in rows] == [r.t for r in rows] == walls
+    assert rows[0].u == 1710037800 * 1_000_000
