@@ -76,11 +76,8 @@ def components(links: DataFrame) -> DataFrame:
             "parents",
         )
         while True:
-            up = parent.select(F.col("id").alias("p"), F.col("p").alias("pp"))
-            jumped = stored(
-                parent.join(up, "p").select("id", F.col("pp").alias("p"), (F.col("p") != F.col("pp")).alias("moved")),
-                "parents",
-            )
+            once = _jump(parent, parent)
+            jumped = stored(_jump(once, once).select("id", "p", "moved"), "parents")
             parent = jumped.select("id", "p")
             if jumped.where("moved").isEmpty():
                 break
@@ -88,10 +85,7 @@ def components(links: DataFrame) -> DataFrame:
             labels = parent.select("id", F.col("p").alias("component"))
         else:
             step = parent.select(F.col("id").alias("component"), "p")
-            labels = stored(
-                labels.join(step, "component", "left").select("id", F.coalesce("p", "component").alias("component")),
-                "labels",
-            )
+            labels = labels.join(step, "component", "left").select("id", F.coalesce("p", "component").alias("component"))
         of_a = parent.select(F.col("id").alias("a"), F.col("p").alias("pa"))
         of_b = parent.select(F.col("id").alias("b"), F.col("p").alias("pb"))
         links = stored(
@@ -103,7 +97,13 @@ def components(links: DataFrame) -> DataFrame:
         )
     if labels is None:
         return links.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    return labels
+    return stored(labels, "labels")
+
+
+def _jump(parent: DataFrame, other: DataFrame) -> DataFrame:
+    """Pointers one jump on: to where the pointer's own pointer leads."""
+    up = other.select(F.col("id").alias("p"), F.col("p").alias("pp"))
+    return parent.select("id", "p").join(up, "p").select("id", F.col("pp").alias("p"), (F.col("p") != F.col("pp")).alias("moved"))
 
 
 def active_buckets(buckets: DataFrame) -> DataFrame:
@@ -117,20 +117,18 @@ def active_buckets(buckets: DataFrame) -> DataFrame:
     return buckets.join(pivots, "bucket")
 
 
-def linked_buckets(
-    active: DataFrame, verify: Callable[[DataFrame], DataFrame], enumerate_below: int = 8
-) -> DataFrame:
+def linked_buckets(active: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Components (id, component) of all links between ids that share a bucket.
 
     `active`: stored rows of `active_buckets`. `verify` takes candidate pairs (a, b), a < b, and
     returns those that are links. Nothing emits all pairs of a bucket: each round tests a bucket's
     smallest id against its other ids, joins what is linked, takes the tested id out, and drops
-    buckets whose ids are all in one component, as no further link could change the result. When
-    the pairs left between different components are at most `enumerate_below` for each row left,
-    they are tested at once. So every pair that could join two components is tested, whatever the
-    size of a bucket.
+    buckets whose ids are all in one component, as no further link could change the result. Once
+    the pairs left between different components are no more than the rows at the start, they are
+    tested at once. So every pair that could join two components is tested, whatever the size of a
+    bucket, and no round makes more pairs than the input has rows.
     """
-    links = None
+    links, room = None, active.count()
     while True:
         pairs = active.where("id > pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
         found = verify(pairs).select("a", "b")
@@ -145,13 +143,12 @@ def linked_buckets(
             .select("bucket", "pivot")
         )
         rest = stored(rest.join(mixed, "bucket"), "rest")
-        sizes = rest.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        totals = sizes.groupBy("bucket").agg(
-            F.sum("n").alias("rows"), ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs")
-        ).agg(F.sum("rows").alias("rows"), F.sum("pairs").alias("pairs")).first()
-        if not totals["rows"]:
+        sizes = rest.groupBy("bucket", "component").agg(F.count("*").cast("double").alias("n"))
+        left = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
+        pending = left.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2)).first()[0]
+        if not pending:
             return named
-        if totals["pairs"] <= enumerate_below * totals["rows"]:
+        if pending <= max(room, 1000):
             break
         active = rest.select("bucket", "id", "pivot")
     left = rest.select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +37,6 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One pass over a partition's runs in digest order: equal digests become one row.
 
     Holds one Arrow batch and one open row. Digests of different text sizes stay apart."""
-    import pandas as pd
-
     carry = None
     for batch in batches:
         rows = batch.to_pandas()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,8 +66,6 @@ def _odds_rank(key, weight):
 def _fill(rows):
     """Take whole units in order while they fit in what a source still needs (one source's last
     interval); then one more if that ends nearer to the need."""
-    import pandas as pd
-
     need = float(rows["need"].iloc[0])
     units = rows.groupby(["rank", "key"], sort=True, as_index=False)["size"].sum()
     chosen, over = [], None

@@ -10,76 +10,49 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardflow.llm.common import active_buckets, components, linked_buckets, stored
+from hazardflow.llm.common import active_buckets, linked_buckets, stored
+from hazardflow.llm.hashing import scramble, words
 
 BANDS, ROWS = 32, 4
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
-_CACHE = 200_000
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    """A fixed 64-bit mixing step: two rounds of shift, xor and odd multiplier."""
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(29))) * _MULTIPLY
-    return x ^ (x >> np.uint64(32))
-
-
-class Shingles:
-    """Hashes of the distinct word shingles of a text; keeps a bounded cache of word hashes."""
-
-    def __init__(self, width: int):
-        self.width = width
-        self.words: dict[bytes, int] = {}
-
-    def __call__(self, text: bytes | None) -> np.ndarray:
-        """Sorted distinct 64-bit hashes; A-Z count as lower case. A text with fewer words than
-        the width is one shingle; a text without words has none."""
-        words = (text or b"").lower().split()
-        if not words:
-            return np.empty(0, np.uint64)
-        if len(self.words) > _CACHE:
-            self.words.clear()
-        known = self.words
-        hashes = []
-        for w in words:
-            h = known.get(w)
-            if h is None:
-                h = known[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-            hashes.append(h)
-        h = np.array(hashes, np.uint64)
-        n = min(self.width, len(h))
-        out = np.full(len(h) - n + 1, n, np.uint64)
-        for i in range(n):
-            out = _mix(out + h[i : len(h) - n + 1 + i] * _MULTIPLY)
-        return np.unique(out)
+
+
+def shingles(text: bytes | None, width: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of a text's word shingles; A-Z count as lower case. A text with
+    fewer words than the width is one shingle; a text without words has none."""
+    h = words(text)[2] if text else np.empty(0, np.uint64)
+    if not len(h):
+        return h
+    n = min(width, len(h))
+    out = np.full(len(h) - n + 1, n, np.uint64)
+    for i in range(n):
+        out = scramble(out + h[i : len(h) - n + 1 + i] * _MULTIPLY)
+    return np.unique(out)
 
 
 def _constants(count: int) -> np.ndarray:
-    return _mix(np.arange(1, count + 1, dtype=np.uint64) * _MULTIPLY)
+    return scramble(np.arange(1, count + 1, dtype=np.uint64) * _MULTIPLY)
 
 
-def minima(shingles: np.ndarray, constants: np.ndarray, step: int = 4096) -> np.ndarray:
+def minima(items: np.ndarray, constants: np.ndarray, step: int = 2048) -> np.ndarray:
     """The minimum of each hash function over a shingle set, in blocks of bounded size. The
-    functions are multiplications by odd constants of the upper and lower half, folded."""
+    functions multiply the mixed hashes by odd constants."""
     best = np.full(len(constants), np.iinfo(np.uint64).max, np.uint64)
-    odd = constants | np.uint64(1)
-    for i in range(0, len(shingles), step):
-        part = shingles[i : i + step, None]
-        mixed = (part ^ constants[None, :]) * odd[None, :]
-        mixed ^= mixed >> np.uint64(31)
-        np.minimum(best, (mixed * _MULTIPLY).min(axis=0), out=best)
+    odd = (constants | np.uint64(1))[:, None]
+    for i in range(0, len(items), step):
+        np.minimum(best, (items[None, i : i + step] * odd).min(axis=1), out=best)
     return best
 
 
 def _features(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle, constants = Shingles(width), _constants(BANDS * ROWS)
+        constants = _constants(BANDS * ROWS)
         names = ["doc_id", "n_shingles", "d1", "d2", "s0", "s1", "s2", "s3", "bands"]
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary())
             rows = []
             for i, doc in enumerate(ids):
-                s = shingle(texts[i].as_py())
+                s = shingles(texts[i].as_py(), width)
                 if not len(s):
                     rows.append((doc, 0, None, None, None, None, None, None, None))
                     continue
@@ -90,7 +63,7 @@ def _features(width: int):
                 packed = np.bitwise_or.reduce(low, axis=1).view(np.int64)
                 band = np.arange(1, BANDS + 1, dtype=np.uint64)
                 for r in m.reshape(BANDS, ROWS).T:
-                    band = _mix(band * _MULTIPLY + r)
+                    band = scramble(band * _MULTIPLY + r)
                 rows.append((doc, len(s), int(digest[0]), int(digest[1]), *map(int, packed), band.view(np.int64)))
                 if len(rows) == 2000:
                     yield _batch(rows, names)
@@ -111,10 +84,9 @@ FEATURES = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, s0 bigint, s
 
 def _sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingles(width)
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
-            packed = [shingle(texts[i].as_py()).tobytes() for i in range(len(texts))]
+            packed = [shingles(texts[i].as_py(), width).tobytes() for i in range(len(texts))]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(packed, pa.binary())], names=["id", "items"])
 
     return run
@@ -206,3 +178,11 @@ def near_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     return out.select(
         "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept")
     )
+
+
+def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """The input rows, all columns kept, without the documents that `near_dedup` drops. An id goes
+    only if no row with it is kept; rows with a null id stay."""
+    decided = near_dedup(docs, id_column, text_column, **options)
+    gone = decided.groupBy(F.col("doc_id").alias("_gone_id")).agg(F.max("kept").alias("_kept")).where("not _kept").select("_gone_id")
+    return docs.join(gone, F.col(f"`{id_column}`") == F.col("_gone_id"), "left_anti")

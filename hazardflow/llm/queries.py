@@ -7,9 +7,23 @@ from pyspark.sql import functions as F
 
 from hazardflow.llm.common import documents
 from hazardflow.llm.exact_dedup import exact_dedup
+from hazardflow.llm.langid import predict
 from hazardflow.llm.line_dedup import line_components
+from hazardflow.llm.lm_score import lm_score
 from hazardflow.llm.mixing import mix_plan
 from hazardflow.llm.near_dedup import near_dedup
+from hazardflow.llm.neighbours import nearest
+from hazardflow.llm.quality import quality
+from hazardflow.llm.sentencepiece_codec import decode, encode
+from hazardflow.llm.substring_dedup import substring_dedup
+
+
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(documents(spark, sf_dir))
+
+
+def op2_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,17 +36,42 @@ def op4_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict(documents(spark, sf_dir))
+
+
+def op6_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score(documents(spark, sf_dir))
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = decode(encode(documents(spark, sf_dir).select("doc_id", "text")))
+    return coded.select(
+        "doc_id", "ids", F.size("ids").alias("n_pieces"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip")
+    )
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(documents(spark, sf_dir), keep="largest")
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(documents(spark, sf_dir), width=4)
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op2_compression_quality": op2_compression_quality,
     "op3_line_dedup": op3_line_dedup,
     "op4_pareto_mixing": op4_pareto_mixing,
+    "op5_language_id": op5_language_id,
+    "op6_lattice_score": op6_lattice_score,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_nearest": op9_nearest,
     "op10_near_dedup": op10_near_dedup,
 }
