@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The bytes that end a word, and the sentence enders.
@@ -36,12 +36,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def free_name(df: DataFrame, name: str) -> str:
-    """`name`, with underscores added until no column of `df` has it."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
+def stored_by(df: DataFrame, column: str, label: str) -> DataFrame:
+    """Rows written as a bucketed table in the shared folder: later aggregates and joins on the
+    column find them in place, without another shuffle of wide rows."""
+    spark = df.sparkSession
+    path = shared_path(spark, label)
+    name = f"hazardflow_{uuid.uuid4().hex}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    writer = df.write.format("parquet").option("compression", "zstd").option("path", path)
+    writer.bucketBy(parts, column).saveAsTable(name)
+    return spark.table(name)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,32 +110,52 @@ def _jump(parent: DataFrame, other: DataFrame) -> DataFrame:
     return parent.select("id", "p").join(up, "p").select("id", F.col("pp").alias("p"), (F.col("p") != F.col("pp")).alias("moved"))
 
 
-def active_buckets(buckets: DataFrame) -> DataFrame:
-    """Rows (bucket, id, pivot) of the buckets that hold two ids or more; pivot: the smallest."""
+def active_buckets(buckets: DataFrame, once: bool = False) -> DataFrame:
+    """Rows (bucket, id, pivot) of the buckets that hold two ids or more; pivot: the smallest.
+
+    Buckets are aggregated before the shuffle, and the join back can split a hot bucket. `once` is
+    for rows that are costly to make, hardly ever share a bucket, and are distinct ids: they are
+    shuffled a single time, and both the aggregate and the join read that.
+    """
+    rows = buckets.repartition("bucket") if once else buckets
     pivots = (
-        buckets.groupBy("bucket")
+        rows.groupBy("bucket")
         .agg(F.min("id").alias("pivot"), F.max("id").alias("top"))
         .where("pivot < top")
         .select("bucket", "pivot")
     )
-    return buckets.join(pivots, "bucket")
+    return rows.join(pivots.hint("shuffle_hash") if once else pivots, "bucket")
 
 
-def linked_buckets(active: DataFrame, verify: Callable[[DataFrame], DataFrame]) -> DataFrame:
+#: Pairs looked at for each row of a bucket table before rounds of single ids go on instead.
+LOOKS = 200
+
+
+def linked_buckets(
+    active: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    traits: DataFrame,
+    close: Callable[[str, str], Column],
+) -> DataFrame:
     """Components (id, component) of all links between ids that share a bucket.
 
-    `active`: stored rows of `active_buckets`. `verify` takes candidate pairs (a, b), a < b, and
-    returns those that are links. Nothing emits all pairs of a bucket: each round tests a bucket's
-    smallest id against its other ids, joins what is linked, takes the tested id out, and drops
-    buckets whose ids are all in one component, as no further link could change the result. Once
-    the pairs left between different components are no more than the rows at the start, they are
-    tested at once. So every pair that could join two components is tested, whatever the size of a
-    bucket, and no round makes more pairs than the input has rows.
+    `active`: stored rows of `active_buckets`. `traits`: one row per id with what `close` compares
+    between two aliases; it must hold for every link. `verify` takes candidate pairs (a, b), a < b,
+    for which it holds and returns those that are links.
+
+    First a bucket's smallest id is tested against its other ids and what is linked is joined; then
+    the tested id goes, and so do buckets whose ids are all in one component, as no further link
+    could change the result. What is left is compared within buckets, between different components
+    only, and `close` decides inside the join, so that pairs are made of likely links alone. While
+    that would look at more than `LOOKS` pairs for each row, rounds of single ids go on. So every
+    pair that could join two components is tested, whatever the size of a bucket.
     """
     links, room = None, active.count()
     while True:
         pairs = active.where("id > pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-        found = verify(pairs).select("a", "b")
+        x, y = traits.alias("x"), traits.alias("y")
+        near = pairs.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id")).where(close("x", "y"))
+        found = verify(stored(near.select("a", "b"), "candidates")).select("a", "b")
         links = stored(found if links is None else links.unionByName(found), "verified")
         named = components(links)
         rest = active.where("id > pivot").select("bucket", "id")
@@ -143,15 +167,16 @@ def linked_buckets(active: DataFrame, verify: Callable[[DataFrame], DataFrame])
             .select("bucket", "pivot")
         )
         rest = stored(rest.join(mixed, "bucket"), "rest")
-        sizes = rest.groupBy("bucket", "component").agg(F.count("*").cast("double").alias("n"))
-        left = sizes.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("own"))
-        pending = left.agg(F.sum((F.col("n") * F.col("n") - F.col("own")) / 2)).first()[0]
-        if not pending:
+        sizes = rest.groupBy("bucket").agg(F.count("*").cast("double").alias("n"))
+        looks = sizes.agg(F.sum(F.col("n") * F.col("n"))).first()[0]
+        if not looks:
             return named
-        if pending <= max(room, 1000):
+        if looks <= LOOKS * room:
             break
         active = rest.select("bucket", "id", "pivot")
-    left = rest.select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"))
-    right = rest.select("bucket", F.col("id").alias("b"), F.col("component").alias("cb"))
-    pairs = left.join(right, "bucket").where("a < b and ca != cb").select("a", "b").distinct()
-    return components(links.unionByName(verify(pairs).select("a", "b")))
+    full = stored(rest.join(traits, "id"), "traits")
+    x, y = full.alias("x"), full.alias("y")
+    unlike = (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
+    near = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & unlike & close("x", "y"))
+    near = stored(near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "candidates")
+    return components(links.unionByName(verify(near).select("a", "b")))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from hazardflow.llm.common import stored
 
+_NO_ID = 2**63 - 1  # stands for a missing id within runs: after all others
 RUN = "part bigint, digest string, size bigint, best bigint, copies bigint"
 
 
@@ -107,11 +108,11 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     # Many small input partitions are one run: a run's size follows rows, not files.
     hashed = hashed.withColumn("part", F.col("part") % parts)
     runs = hashed.groupBy("part", "digest", "size").agg(
-        F.min(sign * F.col("doc_id")).alias("best"), F.count("*").alias("copies")
+        F.coalesce(F.min(sign * F.col("doc_id")), F.lit(_NO_ID)).alias("best"), F.count("*").alias("copies")
     )
     runs = stored(runs, "runs")
     won = tree_merge(runs, parts).select(
-        "digest", "size", F.col("best").alias("win"), F.col("copies").alias("group_size")
+        "digest", "size", F.when(F.col("best") != _NO_ID, F.col("best")).alias("win"), F.col("copies").alias("group_size")
     )
     back = runs.select("part", "digest", "size").join(won, ["digest", "size"])
     return hashed.join(back, ["part", "digest", "size"]).select(

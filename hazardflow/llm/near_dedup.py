@@ -118,7 +118,7 @@ def estimate(left: str, right: str, functions: int = BANDS * ROWS):
 
 
 def near_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 5,
-               percent: int = 80, slack: float = 0.3) -> DataFrame:
+               percent: int = 80, slack: float = 0.21) -> DataFrame:
     """Components of documents whose word shingle sets have a Jaccard similarity of at least
     `percent` / 100: rows (doc_id, n_shingles, component_id, kept), one per input row.
 
@@ -128,8 +128,8 @@ def near_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     Equal sets are one class with its smallest id. For each class: 128 minima, of which 32 bands
     of 4 give candidate buckets (a pair at 0.8 is missed once in twenty million), and 2 bits each
     are kept as a signature of four integers. Candidates whose corrected estimate from bit counts
-    is at least `slack` below the limit (seven standard deviations) go; all others are confirmed
-    on full sets. `linked_buckets` keeps the pairs per bucket linear and loses no link that could
+    is more than `slack` below the limit (five standard deviations), or whose set sizes alone rule a
+    link out, go; all others are confirmed on full sets. `linked_buckets` keeps the pairs per bucket linear and loses no link that could
     join two components.
 
     Texts that are null or have no word are linked with nothing: component_id is their own id. Rows
@@ -144,7 +144,7 @@ def near_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     active = stored(active_buckets(heads.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket"))), "buckets")
     wanted = active.select("id").distinct()
     signatures = stored(
-        features.where("n_shingles > 0").select(F.col("doc_id").alias("id"), "s0", "s1", "s2", "s3").join(wanted, "id", "left_semi"),
+        features.where("n_shingles > 0").select(F.col("doc_id").alias("id"), "n_shingles", "s0", "s1", "s2", "s3").join(wanted, "id", "left_semi"),
         "signatures",
     )
     sets = stored(
@@ -152,20 +152,18 @@ def near_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         "sets",
     )
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        x, y = signatures.alias("x"), signatures.alias("y")
-        near = (
-            pairs.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id"))
-            .where(estimate("x", "y") >= percent / 100 - slack).select("a", "b")
-        )
-        near = stored(near, "candidates")
+    def close(x: str, y: str):
+        a, b = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")
+        return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (estimate(x, y) >= percent / 100 - slack)
+
+    def verify(near: DataFrame) -> DataFrame:
         full = (
             near.join(sets.select(F.col("id").alias("b"), F.col("items").alias("right")), "b")
             .join(sets.select(F.col("id").alias("a"), F.col("items").alias("left")), "a")
         )
         return full.mapInArrow(_overlaps(percent), "a bigint, b bigint").distinct()
 
-    of_class = linked_buckets(active, verify)
+    of_class = linked_buckets(active, verify, signatures, close)
     # Rows without a set get a key of their own, so that they meet in no one task.
     spread = F.xxhash64("doc_id", F.lit(1))
     named = features.select("doc_id", "n_shingles", F.coalesce("d1", spread).alias("d1"), F.coalesce("d2", F.lit(0)).alias("d2"))
