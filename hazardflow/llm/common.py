@@ -111,20 +111,27 @@ def _jump(parent: DataFrame, other: DataFrame) -> DataFrame:
 
 
 def active_buckets(buckets: DataFrame, once: bool = False) -> DataFrame:
-    """Rows (bucket, id, pivot) of the buckets that hold two ids or more; pivot: the smallest.
+    """Rows (bucket, id, n) of the buckets that hold two ids or more; n: how many.
 
     Buckets are aggregated before the shuffle, and the join back can split a hot bucket. `once` is
     for rows that are costly to make, hardly ever share a bucket, and are distinct ids: they are
     shuffled a single time, and both the aggregate and the join read that.
     """
     rows = buckets.repartition("bucket") if once else buckets
-    pivots = (
+    sizes = (
         rows.groupBy("bucket")
-        .agg(F.min("id").alias("pivot"), F.max("id").alias("top"))
-        .where("pivot < top")
-        .select("bucket", "pivot")
+        .agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n"))
+        .where("lo < hi")
+        .select("bucket", "n")
     )
-    return rows.join(pivots.hint("shuffle_hash") if once else pivots, "bucket")
+    return rows.join(sizes.hint("shuffle_hash") if once else sizes, "bucket")
+
+
+def _with_pivot(rows: DataFrame) -> DataFrame:
+    """Rows (bucket, id, weight) with their bucket's pivot: the id that meets most others in all
+    buckets, which is likely the original of a group of copies; of several, the smallest."""
+    best = rows.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("id")).alias("minus"))).alias("best"))
+    return rows.join(best.select("bucket", (-F.col("best.minus")).alias("pivot")), "bucket")
 
 
 #: Pairs looked at for each row of a bucket table before rounds of single ids go on instead.
@@ -139,44 +146,50 @@ def linked_buckets(
 ) -> DataFrame:
     """Components (id, component) of all links between ids that share a bucket.
 
-    `active`: stored rows of `active_buckets`. `traits`: one row per id with what `close` compares
-    between two aliases; it must hold for every link. `verify` takes candidate pairs (a, b), a < b,
-    for which it holds and returns those that are links.
-
-    First a bucket's smallest id is tested against its other ids and what is linked is joined; then
-    the tested id goes, and so do buckets whose ids are all in one component, as no further link
-    could change the result. What is left is compared within buckets, between different components
-    only, and `close` decides inside the join, so that pairs are made of likely links alone. While
-    that would look at more than `LOOKS` pairs for each row, rounds of single ids go on. So every
-    pair that could join two components is tested, whatever the size of a bucket.
+    `active`: stored rows of `active_buckets`. `traits`: one row per id with all its buckets, in
+    an order that is the same for all (`buckets`), and with what `close` compares between two
+    aliases; it must hold for every link. `verify` takes candidate pairs (a, b) for which it holds
+    and returns those that are links.
+
+    First one id per bucket, the most central, is tested against the bucket's others and what is
+    linked is joined; then the tested id goes, and so do buckets whose ids are all in one
+    component, as no further link could change the result. What is left is compared within
+    buckets: ids outside a bucket's largest component with those of all others. `close` decides inside the join, and a pair is
+    made in the first bucket that both share, so that pairs are made of likely links alone, once.
+    While that would look at more than `LOOKS` pairs for each row, rounds of single ids go on. So
+    every pair that could join two components is tested, whatever the size of a bucket.
     """
     links, room = None, active.count()
+    weights = active.groupBy("id").agg(F.sum("n").alias("weight"))
+    rows = stored(_with_pivot(active.select("bucket", "id").join(weights, "id")), "pivots")
     while True:
-        pairs = active.where("id > pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+        pairs = rows.where("id != pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
         x, y = traits.alias("x"), traits.alias("y")
         near = pairs.join(x, F.col("a") == F.col("x.id")).join(y, F.col("b") == F.col("y.id")).where(close("x", "y"))
         found = verify(stored(near.select("a", "b"), "candidates")).select("a", "b")
         links = stored(found if links is None else links.unionByName(found), "verified")
         named = components(links)
-        rest = active.where("id > pivot").select("bucket", "id")
-        rest = rest.join(named, "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("component"))
-        mixed = (
-            rest.groupBy("bucket")
-            .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("id").alias("pivot"))
-            .where("lo < hi")
-            .select("bucket", "pivot")
+        rest = rows.where("id != pivot").select("bucket", "id", "weight")
+        rest = rest.join(named, "id", "left").select("bucket", "id", "weight", F.coalesce("component", "id").alias("component"))
+        rest = stored(rest, "rest")
+        shares = rest.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+        mixed = shares.groupBy("bucket").agg(
+            F.max(F.struct("n", "component")).alias("major"), F.sum("n").alias("n"), F.count("*").alias("kinds")
         )
-        rest = stored(rest.join(mixed, "bucket"), "rest")
-        sizes = rest.groupBy("bucket").agg(F.count("*").cast("double").alias("n"))
-        looks = sizes.agg(F.sum(F.col("n") * F.col("n"))).first()[0]
+        mixed = stored(mixed.where("kinds > 1").select("bucket", "n", "major.component", (F.col("n") - F.col("major.n")).alias("minor")).withColumnRenamed("component", "major"), "mixed")
+        looks = mixed.agg(F.sum(F.col("n").cast("double") * F.col("minor"))).first()[0]
         if not looks:
             return named
+        rest = rest.join(mixed.select("bucket", "major"), "bucket")
         if looks <= LOOKS * room:
             break
-        active = rest.select("bucket", "id", "pivot")
-    full = stored(rest.join(traits, "id"), "traits")
-    x, y = full.alias("x"), full.alias("y")
-    unlike = (F.col("x.id") < F.col("y.id")) & (F.col("x.component") != F.col("y.component"))
-    near = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & unlike & close("x", "y"))
+        rows = stored(_with_pivot(rest.select("bucket", "id", "weight")), "pivots")
+    full = rest.select("bucket", "id", "component", (F.col("component") != F.col("major")).alias("minor")).join(traits, "id")
+    full = stored(full, "traits")
+    # ids outside a bucket's largest component meet all others; two of them meet once
+    x, y = full.where("minor").alias("x"), full.alias("y")
+    unlike = (F.col("x.component") != F.col("y.component")) & (~F.col("y.minor") | (F.col("x.id") < F.col("y.id")))
+    first = F.get(F.array_intersect("x.buckets", "y.buckets"), 0) == F.col("x.bucket")
+    near = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & unlike & close("x", "y") & first)
     near = stored(near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "candidates")
     return components(links.unionByName(verify(near).select("a", "b")))

@@ -14,6 +14,8 @@ from hazardflow.llm.common import active_buckets, linked_buckets, stored
 from hazardflow.llm.hashing import scramble, words
 
 BANDS, ROWS = 32, 4
+#: Minima of a candidate's signature.
+FUNCTIONS = 1024
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -47,47 +49,54 @@ def minima(items: np.ndarray, constants: np.ndarray, step: int = 2048) -> np.nda
 def _features(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         constants = _constants(BANDS * ROWS)
-        names = ["doc_id", "n_shingles", "d1", "d2", "s0", "s1", "s2", "s3", "bands"]
+        kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())]
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").cast(pa.binary())
-            rows = []
-            for i, doc in enumerate(ids):
-                s = shingles(texts[i].as_py(), width)
+            texts, rows = batch.column("text").cast(pa.binary()), []
+            for doc, text in zip(batch.column("doc_id").to_pylist(), texts):
+                s = shingles(text.as_py(), width)
                 if not len(s):
-                    rows.append((doc, 0, None, None, None, None, None, None, None))
+                    rows.append((doc, 0, None, None, None))
                     continue
                 digest = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64)
-                m = minima(s, constants)
-                # two low bits of each minimum, 32 of them to a word
-                low = (m & np.uint64(3)).reshape(4, 32) << (np.arange(32, dtype=np.uint64) * np.uint64(2))
-                packed = np.bitwise_or.reduce(low, axis=1).view(np.int64)
                 band = np.arange(1, BANDS + 1, dtype=np.uint64)
-                for r in m.reshape(BANDS, ROWS).T:
+                for r in minima(s, constants).reshape(BANDS, ROWS).T:
                     band = scramble(band * _MULTIPLY + r)
-                rows.append((doc, len(s), int(digest[0]), int(digest[1]), *map(int, packed), band.view(np.int64)))
-                if len(rows) == 2000:
-                    yield _batch(rows, names)
-                    rows = []
-            yield _batch(rows, names)
+                rows.append((doc, len(s), int(digest[0]), int(digest[1]), band.view(np.int64)))
+            for low in range(0, len(rows), 2000):
+                columns = zip(*rows[low : low + 2000])
+                names = ["doc_id", "n_shingles", "d1", "d2", "bands"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     return run
 
 
-def _batch(rows: list, names: list[str]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [()] * len(names)
-    kinds = [pa.int64()] * 8 + [pa.list_(pa.int64())]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+FEATURES = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<bigint>"
 
 
-FEATURES = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint, bands array<bigint>"
+def signature(items: np.ndarray) -> np.ndarray:
+    """Two low bits of each of `FUNCTIONS` minima, 32 of them to a word."""
+    low = minima(items, _constants(FUNCTIONS)) & np.uint64(3)
+    packed = low.reshape(-1, 32) << (np.arange(32, dtype=np.uint64) * np.uint64(2))
+    return np.bitwise_or.reduce(packed, axis=1).view(np.int64)
 
 
 def _sets(width: int):
+    """Whole shingle sets and packed signatures of candidates."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
-            packed = [shingles(texts[i].as_py(), width).tobytes() for i in range(len(texts))]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(packed, pa.binary())], names=["id", "items"])
+            for low in range(0, batch.num_rows, 500):
+                found = [shingles(t.as_py(), width) for t in texts.slice(low, 500)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("id").slice(low, 500),
+                        pa.array([len(s) for s in found], pa.int64()),
+                        pa.array([s.tobytes() for s in found], pa.binary()),
+                        pa.array([signature(s) for s in found], pa.list_(pa.int64())),
+                    ],
+                    names=["id", "n_shingles", "items", "packed"],
+                )
 
     return run
 
@@ -105,32 +114,32 @@ def _overlaps(percent: int):
     return run
 
 
-def estimate(left: str, right: str, functions: int = BANDS * ROWS):
+def estimate(left: str, right: str):
     """Similarity from packed 2-bit signatures: positions whose bits are equal, by bit counts,
     corrected for the quarter that agrees by chance."""
     differ = F.lit(0)
-    for i in range(4):
-        x = F.col(f"{left}.s{i}").bitwiseXOR(F.col(f"{right}.s{i}"))
+    for i in range(FUNCTIONS // 32):
+        x = F.get(F.col(f"{left}.packed"), i).bitwiseXOR(F.get(F.col(f"{right}.packed"), i))
         either = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseAND(F.lit(0x5555555555555555))
         differ = differ + F.bit_count(either)
-    equal = 1 - differ / functions
-    return (equal - 0.25) / 0.75
+    return (1 - differ / FUNCTIONS - 0.25) / 0.75
 
 
 def near_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", width: int = 5,
-               percent: int = 80, slack: float = 0.21) -> DataFrame:
+               percent: int = 80, slack: float = 0.08) -> DataFrame:
     """Components of documents whose word shingle sets have a Jaccard similarity of at least
     `percent` / 100: rows (doc_id, n_shingles, component_id, kept), one per input row.
 
     Words are what stands between bytes 0x09-0x0D and 0x20, with A-Z lower-cased. A document's set
     holds its distinct shingles of `width` words; with fewer words, the whole sequence as one.
 
-    Equal sets are one class with its smallest id. For each class: 128 minima, of which 32 bands
-    of 4 give candidate buckets (a pair at 0.8 is missed once in twenty million), and 2 bits each
-    are kept as a signature of four integers. Candidates whose corrected estimate from bit counts
-    is more than `slack` below the limit (five standard deviations), or whose set sizes alone rule a
-    link out, go; all others are confirmed on full sets. `linked_buckets` keeps the pairs per bucket linear and loses no link that could
-    join two components.
+    Equal sets are one class with its smallest id. For each class 32 bands of 4 minima give
+    candidate buckets (a pair at 0.8 is missed once in twenty million). Documents that share a
+    bucket get a signature: the two low bits of 1,024 minima, packed into 32 integers. Candidates
+    whose corrected estimate from bit counts is more than `slack` below the limit (five standard
+    deviations), or whose set sizes alone rule a link out, go; all others are confirmed on full
+    sets. `linked_buckets` keeps the pairs per bucket few and loses no link that could join two
+    components.
 
     Texts that are null or have no word are linked with nothing: component_id is their own id. Rows
     without an id get no component and are kept. Rows that share an id count as one document in
@@ -143,14 +152,15 @@ def near_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     heads = features.join(classes.select(F.col("class").alias("doc_id")).distinct(), "doc_id", "left_semi").where("n_shingles > 0")
     active = stored(active_buckets(heads.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket"))), "buckets")
     wanted = active.select("id").distinct()
-    signatures = stored(
-        features.where("n_shingles > 0").select(F.col("doc_id").alias("id"), "n_shingles", "s0", "s1", "s2", "s3").join(wanted, "id", "left_semi"),
-        "signatures",
-    )
+    bands = features.where("n_shingles > 0").select(F.col("doc_id").alias("id"), F.col("bands").alias("buckets"))
     sets = stored(
-        texts.select(F.col("doc_id").alias("id"), "text").join(wanted, "id", "left_semi").mapInArrow(_sets(width), "id bigint, items binary"),
+        texts.select(F.col("doc_id").alias("id"), "text").join(wanted, "id", "left_semi")
+        .mapInArrow(_sets(width), "id bigint, n_shingles bigint, items binary, packed array<bigint>"),
         "sets",
     )
+    signatures = stored(
+        sets.select("id", "n_shingles", "packed").where("n_shingles > 0").join(bands.join(wanted, "id", "left_semi"), "id"), "signatures"
+    )
 
     def close(x: str, y: str):
         a, b = F.col(f"{x}.n_shingles"), F.col(f"{y}.n_shingles")

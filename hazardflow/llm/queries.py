@@ -14,7 +14,7 @@ from hazardflow.llm.mixing import mix_plan
 from hazardflow.llm.near_dedup import near_dedup
 from hazardflow.llm.neighbours import nearest
 from hazardflow.llm.quality import quality
-from hazardflow.llm.sentencepiece_codec import decode, encode
+from hazardflow.llm.sentencepiece_codec import encode
 from hazardflow.llm.substring_dedup import substring_dedup
 
 
@@ -45,10 +45,8 @@ def op6_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = decode(encode(documents(spark, sf_dir).select("doc_id", "text")))
-    return coded.select(
-        "doc_id", "ids", F.size("ids").alias("n_pieces"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip")
-    )
+    coded = encode(documents(spark, sf_dir).select("doc_id", "text"), check_column="round_trip")
+    return coded.select("doc_id", "ids", F.size("ids").alias("n_pieces"), "round_trip")
 
 
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

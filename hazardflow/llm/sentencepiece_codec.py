@@ -16,7 +16,7 @@ from hazardflow.llm.common import stored
 from hazardflow.llm.vocabulary import MODEL, Vocabulary, load_vocabulary
 
 _SCALE = 1_000_000  # scores are whole millionths, so that sums don't depend on their order
-_CACHE = 200_000
+_CACHE = 100_000
 _NONE = -(1 << 60)  # no path
 
 
@@ -31,29 +31,32 @@ class Lattice:
         self.ids = vocabulary.ids
         self.score = [round(x * _SCALE) if x > float("-inf") else _NONE for x in vocabulary.logs]
         self.reach = vocabulary.longest
+        self.value = {piece: self.score[i] for piece, i in self.ids.items()}
+        # the longest piece that starts with two characters bounds the look-up there
+        self.span: dict[str, int] = {}
+        for piece in self.ids:
+            self.span[piece[:2]] = max(self.span.get(piece[:2], 1), len(piece))
         self.known: dict[str, tuple[int, tuple[int, ...]]] = {}
 
     def forward(self, text: str, best: list[int], start: int) -> list[int]:
         """Fill `best`, the scores of positions of `text`, from what it holds up to `start`;
         returns for each position after it where its last piece starts."""
-        n, ids, score, reach = len(text), self.ids, self.score, self.reach
+        n, value, span = len(text), self.value, self.span
         back = [-1] * (n + 1)
-        for i in range(max(0, start - reach + 1), n):
+        for i in range(max(0, start - self.reach + 1), n):
             here = best[i]
             if here <= _NONE:
                 continue
-            single = False
-            for j in range(i + 1, min(n, i + reach) + 1):
-                piece = ids.get(text[i:j])
-                if piece is None:
-                    continue
-                single = single or j == i + 1
-                if j > start and here + score[piece] > best[j]:
-                    best[j], back[j] = here + score[piece], i
-            if not single and i >= start:
-                value = here + sum(score[b] for b in self.vocabulary.fallback(text[i]))
-                if value > best[i + 1]:
-                    best[i + 1], back[i + 1] = value, i
+            if i >= start:
+                s = value.get(text[i])
+                if s is None:
+                    s = sum([self.score[b] for b in self.vocabulary.fallback(text[i])])
+                if here + s > best[i + 1]:
+                    best[i + 1], back[i + 1] = here + s, i
+            for j in range(max(i + 2, start + 1), min(n, i + span.get(text[i : i + 2], 1)) + 1):
+                s = value.get(text[i:j])
+                if s is not None and here + s > best[j]:
+                    best[j], back[j] = here + s, i
         return back
 
     def pieces(self, text: str, back: list[int], end: int, start: int) -> tuple[list[int], int]:
@@ -272,30 +275,49 @@ def _per_chunk(vocabulary: Vocabulary, what: str):
     return run
 
 
-def _small(vocabulary: Vocabulary, text_at: int):
-    """Texts of one chunk: the ids at the end of each row."""
+def _small(vocabulary: Vocabulary, text_at: int, check: bool):
+    """Texts of one chunk: the ids at the end of each row, and whether they give the text back."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(vocabulary)
         for batch in batches:
-            texts = batch.column(text_at)
-            for low in range(0, batch.num_rows, 256):
-                ids = [None if t is None else np.array(lattice.encode(t), np.int32) for t in texts.slice(low, 256).to_pylist()]
-                part = batch.slice(low, 256)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.list_(pa.int32()))], names=[f"c{i}" for i in range(batch.num_columns + 1)])
+            for low in range(0, batch.num_rows, 128):
+                part = batch.slice(low, 128)
+                texts = part.column(text_at).to_pylist()
+                ids = [None if t is None else lattice.encode(t) for t in texts]
+                new = [pa.array([None if x is None else np.array(x, np.int32) for x in ids], pa.list_(pa.int32()))]
+                if check:
+                    new.append(pa.array([x is None or vocabulary.decode(x) == t for x, t in zip(ids, texts)], pa.bool_()))
+                names = [f"c{i}" for i in range(batch.num_columns + len(new))]
+                yield pa.RecordBatch.from_arrays([*part.columns, *new], names=names)
+
+    return run
+
+
+def _checked(vocabulary: Vocabulary, text_at: int):
+    """Whether the ids at the end of each row give its text back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for i in range(batch.num_rows):
+                good.append(vocabulary.decode(batch.column(batch.num_columns - 1)[i].as_py()) == batch.column(text_at)[i].as_py())
+            names = [f"c{i}" for i in range(batch.num_columns + 1)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(good, pa.bool_())], names=names)
 
     return run
 
 
 def encode(docs: DataFrame, text_column: str = "text", ids_column: str = "ids", model: str = MODEL,
-           chunk: int = 50_000) -> DataFrame:
+           chunk: int = 50_000, check_column: str | None = None) -> DataFrame:
     """All input columns and rows, and `ids_column` (array<int>): the best segmentation of each
-    whole text into the pieces of the vocabulary file `model`, by sum of scores.
+    whole text into the pieces of the vocabulary file `model`, by sum of scores. `check_column`
+    adds whether decoding gave the text back, found in the same pass; true for null texts.
 
     A space mark stands in front of the text and for each space; a character without a piece is
     its UTF-8 bytes; the mark's own character is bytes too, so decoding always gives the text
-    back. Null text has null ids, empty text none. An input column named like `ids_column` (in any
-    case) is replaced. Empty input gives no rows; repeated rows get equal ids.
+    back. Null text has null ids, empty text none. Input columns named like the new ones (in any
+    case) are replaced. Empty input gives no rows; repeated rows get equal ids.
 
     Texts up to `chunk` characters are one chunk. Longer ones are cut, and only they shuffle:
     each chunk gives a matrix of best scores between the states of its two borders; a document's
@@ -306,15 +328,18 @@ def encode(docs: DataFrame, text_column: str = "text", ids_column: str = "ids",
     so the cuts never change a result.
     """
     vocabulary = load_vocabulary(model)
-    docs = docs.select(*[f"`{c.replace('`', '``')}`" for c in docs.columns if c.lower() != ids_column.lower()])
+    docs = docs.select(*[f"`{c.replace('`', '``')}`" for c in docs.columns if c.lower() not in (ids_column.lower(), (check_column or "").lower())])
     names = docs.columns
+    added = [ids_column] + ([check_column] if check_column else [])
     length = F.length(F.col(text_column))
     big = length > chunk
-    schema = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)])
-    schema = schema.add(f"c{len(names)}", T.ArrayType(T.IntegerType()))
+    checked = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(docs.schema.fields)])
+    checked.add(f"c{len(names)}", T.ArrayType(T.IntegerType()))
+    if check_column:
+        checked.add(f"c{len(names) + 1}", T.BooleanType())
     plain = docs.where(~big | length.isNull()).toDF(*[f"c{i}" for i in range(len(names))])
     at = names.index(text_column)
-    small = plain.mapInArrow(_small(vocabulary, at), schema).toDF(*names, ids_column)
+    small = plain.mapInArrow(_small(vocabulary, at, bool(check_column)), checked).toDF(*names, *added)
     key = [F.xxhash64(text_column).alias("key"), F.xxhash64(F.lit(5), text_column).alias("key2")]
     large = docs.where(big).select(*key, F.col(text_column).alias("text"))
     if large.isEmpty():
@@ -339,7 +364,10 @@ def encode(docs: DataFrame, text_column: str = "text", ids_column: str = "ids",
     marked = docs.where(big).withColumns({"_key": F.xxhash64(text_column), "_key2": F.xxhash64(F.lit(5), text_column)}).alias("d")
     joined = marked.join(whole.alias("w"), (F.col("d._key") == F.col("w.key")) & (F.col("d._key2") == F.col("w.key2")))
     columns = [F.col("d.`" + c.replace("`", "``") + "`") for c in names]
-    return small.unionByName(joined.select(*columns, F.col("w._ids").alias(ids_column)))
+    out = joined.select(*columns, F.col("w._ids").alias(ids_column))
+    if check_column:
+        out = out.toDF(*[f"c{i}" for i in range(len(names) + 1)]).mapInArrow(_checked(vocabulary, at), checked).toDF(*names, *added)
+    return small.unionByName(out)
 
 
 def decode(rows: DataFrame, ids_column: str = "ids", text_column: str = "decoded", model: str = MODEL) -> DataFrame:

@@ -119,8 +119,9 @@ def test_operator_on_long_and_odd_texts(spark):
     texts = [long, long, "z" * 900, "", None, " ", "\n\n", "▁a ▁", "  two  gaps ", "日本語 \U0001f600\x00 é", long + "end"]
     df = spark.createDataFrame([(i, t, [1], "k") for i, t in enumerate(texts)], "doc_id long, text string, IDS array<int>, key string")
     whole = {r["doc_id"]: r["ids"] for r in encode(df).collect()}
-    parts = encode(df, chunk=100)
-    assert parts.columns == ["doc_id", "text", "key", "ids"]
+    parts = encode(df, chunk=100, check_column="Key")
+    assert parts.columns == ["doc_id", "text", "ids", "Key"]
+    assert parts.where("not Key").count() == 0
     assert {r["doc_id"]: r["ids"] for r in parts.collect()} == whole
     back = {r["doc_id"]: (r["text"], r["decoded"]) for r in decode(parts).collect()}
     assert all(a == b for a, b in back.values()) and len(back) == len(texts)
