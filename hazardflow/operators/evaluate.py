@@ -6,10 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardflow.functions.casts import known, quoted
-from hazardflow.operators.order import before_sums, bucket_of, every
-
-CUTS = 256
-SKETCH_ACCURACY = 10_000
+from hazardflow.operators.order import ROWS_PER_RANGE, before_sums, ranged
 
 
 def confusion_matrix(
@@ -56,34 +53,28 @@ def classification_metrics(
     )
 
 
-def _doubles(values: list[float]) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast("array<double>")
-
-
-def auc(df: DataFrame, score: str = "prob_flood", label: str = "label") -> DataFrame:
+def auc(
+    df: DataFrame,
+    score: str = "prob_flood",
+    label: str = "label",
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
     """Exact area under the ROC curve by rank sums, ties counted half.
 
     Rows collapse to one per distinct score before anything is ordered. Scores are then sorted
-    within value ranges cut at sketched quantiles; the cuts only spread the work. Null when one
-    class is absent.
+    within value ranges whose number follows the row count; the ranges only spread the work. Null
+    when one class is absent.
     """
     rows = df.select(
         known(score).alias("score"),
         quoted(label).cast("double").alias("label"),
     )
-    shares = [i / CUTS for i in range(1, CUTS)]
-    found = rows.agg(F.percentile_approx("score", shares, SKETCH_ACCURACY).alias("cuts")).first()
-    cuts = sorted(set(found["cuts"] or []))
-    by_score = (
-        rows.groupBy("score")
-        .agg(
-            # Rows without a score weigh nothing; filtering them would repeat the score.
-            F.count_if((F.col("label") == 1) & F.col("score").isNotNull()).alias("pos"),
-            F.count_if((F.col("label") != 1) & F.col("score").isNotNull()).alias("neg"),
-        )
-        .withColumn("bucket", bucket_of(F.col("score"), _doubles(cuts), _doubles(every(cuts))))
+    by_score = rows.groupBy("score").agg(
+        # Rows without a score weigh nothing; filtering them would repeat the score.
+        F.count_if((F.col("label") == 1) & F.col("score").isNotNull()).alias("pos"),
+        F.count_if((F.col("label") != 1) & F.col("score").isNotNull()).alias("neg"),
     )
-    ranked = before_sums(by_score, [], "score", ["pos", "neg"], few_buckets=True)
+    ranked = before_sums(ranged(by_score, ["score"], df.count(), rows_per_range), [], "score", ["pos", "neg"])
     wins = F.sum(F.col("pos") * (F.col("before_neg") + F.col("neg") / 2))
     pairs = F.max("all_pos").cast("double") * F.max("all_neg")
     return ranked.agg(F.try_divide(wins, pairs).alias("auc"))

@@ -11,10 +11,16 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hazardflow.functions.casts import known, quoted
+from hazardflow.sources.files import scratch_dir
+
+Number = int | float | Decimal
 
 SKETCH_ACCURACY = 10_000
 FINISH_ROWS = 10_000
@@ -25,20 +31,24 @@ class _Search:
     """Open interval (low, high) still holding the wanted value, as rank `rank` of `rows`."""
 
     column: str
-    low: float | None = None
-    high: float | None = None
+    own_type: bool = False
+    low: Number | None = None
+    high: Number | None = None
     rows: int = 0
     rank: int = 0
-    answer: float | None = None
+    answer: Number | None = None
     done: bool = False
 
+    def plain(self) -> Column:
+        """Whole numbers and decimals stay what they are: a double may not hold them."""
+        return quoted(self.column) if self.own_type else known(self.column)
+
     def value(self) -> Column:
-        x = known(self.column)
         keep = self.inside()
-        return x if keep is None else F.when(keep, x)
+        return self.plain() if keep is None else F.when(keep, self.plain())
 
     def inside(self) -> Column | None:
-        x = quoted(self.column).cast("double")
+        x = self.plain()
         tests = []
         if self.low is not None:
             tests.append(x > F.lit(self.low))
@@ -49,11 +59,15 @@ class _Search:
         return tests[0] if len(tests) == 1 else tests[0] & tests[1]
 
     def bracket(self, q: float) -> Column:
+        """Two values near the rank, within the interval's own ends: the sketch works in doubles,
+        and each count must find the value at one end at least."""
         margin = 3.0 / SKETCH_ACCURACY
         ends = [max(0.0, q - margin), min(1.0, q + margin)]
-        return F.percentile_approx(self.value(), ends, SKETCH_ACCURACY)
+        near = F.percentile_approx(self.value(), ends, SKETCH_ACCURACY)
+        lo, hi = F.min(self.value()), F.max(self.value())
+        return F.transform(near, lambda x: F.least(F.greatest(x, lo), hi))
 
-    def narrow(self, a: float, b: float, below: int, at_a: int, between: int, at_b: int) -> None:
+    def narrow(self, a: Number, b: Number, below: int, at_a: int, between: int, at_b: int) -> None:
         k = self.rank
         if k <= below:
             self.high, self.rows = a, below
@@ -82,18 +96,28 @@ def _prune(df: DataFrame, searches: list[_Search]) -> DataFrame:
 
 
 def exact_quantiles(
-    df: DataFrame, columns: list[str], q: float = 0.5, finish_rows: int = FINISH_ROWS
-) -> dict[str, float | None]:
+    df: DataFrame,
+    columns: list[str],
+    q: float = 0.5,
+    finish_rows: int = FINISH_ROWS,
+    skip_whole: bool = False,
+) -> dict[str, Number | None]:
     """Smallest value whose cumulative share reaches `q`, per column; None without values.
 
-    Null and NaN are ignored. All columns share each pass. Every pass keeps a sketch and a few
-    counters per column, whatever the data size.
+    Null and NaN are ignored. Values keep their column's type. All columns share each pass, and
+    each pass reads only rows that some interval still holds. Every pass keeps a sketch and a few
+    counters per column, whatever the data size. `skip_whole` gives None for columns in which no
+    value is missing.
     """
     if not columns:
         return {}
     df = df.select(*[quoted(c) for c in columns])
-    searches = [_Search(c) for c in columns]
+    searches = [
+        _Search(c, isinstance(df.schema[c].dataType, (T.IntegralType, T.DecimalType)))
+        for c in columns
+    ]
     row = df.agg(
+        F.count(F.lit(1)).alias("rows"),
         *[F.count(s.value()).alias(f"n{i}") for i, s in enumerate(searches)],
         *[s.bracket(q).alias(f"b{i}") for i, s in enumerate(searches)],
     ).first()
@@ -101,7 +125,7 @@ def exact_quantiles(
     for i, s in enumerate(searches):
         s.rows = row[f"n{i}"]
         s.rank = max(1, math.ceil(q * s.rows))
-        s.done = s.rows == 0
+        s.done = s.rows == 0 or (skip_whole and s.rows == row["rows"])
         brackets[s.column] = row[f"b{i}"]
 
     while todo := [s for s in searches if not s.done]:
@@ -149,22 +173,22 @@ def _count(df: DataFrame, searches: list[_Search], brackets: dict) -> None:
         s.narrow(a, b, row[f"below{i}"], row[f"a{i}"], row[f"mid{i}"], row[f"b{i}"])
 
 
-STRIDE = 16
-
-
-def every(bounds: list[float]) -> list[float]:
-    """Every `STRIDE`-th bound, for the first step of `bucket_of`."""
-    return bounds[STRIDE - 1 :: STRIDE]
+ROWS_PER_RANGE = 1_000_000
 
 
-def bucket_of(value: Column, bounds: Column, coarse: Column) -> Column:
-    """Number of sorted bounds below the value: a bucket that grows with the value.
+def ranged(df: DataFrame, by: list[str], rows: int, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """`df` with a `bucket` that grows with the columns `by`, written once and read back.
 
-    Looks through the coarse bounds first and then through one stride of the fine ones.
+    The number of ranges follows the number of rows (`rows`, an upper bound), so a hot group is
+    cut into as many as its size asks for. Bounds are sampled and may differ between two runs of
+    a plan, so the rows are stored under the ranges they got; nothing in a result depends on them.
     """
-    start = F.size(F.filter(coarse, lambda b: b < value)) * STRIDE
-    near = F.slice(bounds, start + 1, F.lit(STRIDE))
-    return start + F.size(F.filter(near, lambda b: b < value))
+    spark = df.sparkSession
+    path = scratch_dir(spark, "ranged")
+    cut = df.repartitionByRange(max(1, -(-rows // rows_per_range)), *by)
+    cut.withColumn("bucket", F.spark_partition_id()).write.parquet(path)
+    kept = T.StructType([*df.schema.fields, T.StructField("bucket", T.IntegerType())])
+    return spark.read.schema(kept).parquet(path)
 
 
 def before_sums(
@@ -172,14 +196,12 @@ def before_sums(
     keys: list[str],
     value: str,
     measures: list[str],
-    few_buckets: bool = False,
 ) -> DataFrame:
     """Add `before_<m>` and `all_<m>`: sums of m over smaller values and over the whole group.
 
     `df` holds one row per (keys, value) with a `bucket` that grows with the value. Sorting
     happens within a bucket, and bucket totals carry the running sum across buckets, so a hot
-    group is spread over as many tasks as it has buckets. `few_buckets` states that the bucket
-    totals of all groups are bounded and may be broadcast.
+    group is spread over as many tasks as it has buckets.
     """
     totals = df.groupBy(*keys, "bucket").agg(*[F.sum(m).alias(f"t_{m}") for m in measures])
     group = Window.partitionBy(*keys)
@@ -190,8 +212,6 @@ def before_sums(
         *[F.coalesce(F.sum(f"t_{m}").over(earlier), F.lit(0)).alias(f"o_{m}") for m in measures],
         *[F.sum(f"t_{m}").over(group).alias(f"all_{m}") for m in measures],
     )
-    if few_buckets:
-        offsets = F.broadcast(offsets)
     match = F.col("bucket") == F.col("k_bucket")
     for k in keys:
         match = match & F.col(k).eqNullSafe(F.col(f"k_{k}"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hazardflow.functions.casts import quoted, safe_double, safe_int
@@ -105,9 +105,48 @@ def dedup_points(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     )
 
 
+def identity(spec: PointSpec) -> list[str]:
+    """What makes a point of a measurement itself: a later one with the same replaces it."""
+    return ["measurement", *spec.tags, "time"]
+
+
+POINT_PARTITIONS = ["date", "measurement"]
+
+
+def write_points(df: DataFrame, root: str, batch_id: int = 0) -> None:
+    """Write points by date and measurement, so that a panel reads only the days it shows.
+
+    Within those, a batch has a folder of its own: a retried batch replaces itself and no other.
+    """
+    dated = df.withColumns({"date": F.to_date("time"), "batch_id": F.lit(batch_id).cast("bigint")})
+    # Days go to as few files as their size allows, and a hot day to several.
+    laid_out = dated.hint("rebalance", *POINT_PARTITIONS)
+    writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*POINT_PARTITIONS, "batch_id").parquet(root)
+
+
+def read_points(
+    spark: SparkSession,
+    root: str,
+    start: datetime | str | None = None,
+    stop: datetime | str | None = None,
+    measurement: str | None = None,
+) -> DataFrame:
+    """Stored points of a time range and a measurement; both also prune the folders read."""
+    df = spark.read.parquet(root)
+    if measurement is not None:
+        df = df.where(F.col("measurement") == measurement)
+    if start is not None:
+        df = time_range(df, start).where(F.col("date") >= F.to_date(_instant(df, "time", start)))
+    if stop is not None:
+        last = _instant(df, "time", stop)
+        df = df.where((F.col("time") < last) & (F.col("date") <= F.to_date(last)))
+    return df
+
+
 def points_long(df: DataFrame, spec: PointSpec = FLOOD_POINTS) -> DataFrame:
-    """Wide points to one row per field: tags, `field`, `value`, `time`."""
-    ids = [*spec.tags, "time"]
+    """Wide points to one row per field: `measurement`, tags, `field`, `value`, `time`."""
+    ids = ["measurement", *spec.tags, "time"]
     wide = df.select(*ids, *[quoted(f).cast("double").alias(f) for f in spec.fields])
     return wide.unpivot(ids, spec.fields, "field", "value")
 
@@ -130,9 +169,9 @@ def time_range(
 def points(
     df: DataFrame, field_name: str | list[str], measurement: str | None = None
 ) -> DataFrame:
-    """Long points of one or more fields, and of one measurement where it is stored."""
+    """Long points of one or more fields, and of one measurement if it is named."""
     names = [field_name] if isinstance(field_name, str) else field_name
-    if measurement is not None and "measurement" in df.columns:
+    if measurement is not None:
         df = df.where(F.col("measurement") == measurement)
     return df.where(F.col("field").isin(names))
 
@@ -151,6 +190,7 @@ def latest(df: DataFrame, keys: list[str]) -> DataFrame:
 def alert_map(
     df: DataFrame,
     fields: tuple[str, ...] = ("latitude", "longitude", "alert_level_num"),
+    measurement: str | None = None,
 ) -> DataFrame:
     """Latest value of each field per location, for locations that have all of them.
 
@@ -158,7 +198,7 @@ def alert_map(
     """
     when = {f: F.col("field") == f for f in fields}
     found = (
-        points(df, list(fields))
+        points(df, list(fields), measurement)
         .groupBy("location_id")
         .agg(
             *[
@@ -173,17 +213,21 @@ def alert_map(
     return found.dropna(subset=list(fields))
 
 
-def prediction_count(df: DataFrame, by_series: bool = True) -> DataFrame:
+def prediction_count(
+    df: DataFrame, by_series: bool = True, measurement: str | None = None
+) -> DataFrame:
     """Number of predictions per series, or over all of them."""
-    rows = points(df, "prediction")
+    rows = points(df, "prediction", measurement)
     if by_series:
         rows = rows.groupBy(*SERIES)
     return rows.agg(F.count("value").alias("predictions"))
 
 
-def mean_probability(df: DataFrame, by_series: bool = True) -> DataFrame:
+def mean_probability(
+    df: DataFrame, by_series: bool = True, measurement: str | None = None
+) -> DataFrame:
     """Mean probability per series, or the mean of the series means as the panel shows it."""
-    per_series = points(df, "probability").groupBy(*SERIES).agg(
+    per_series = points(df, "probability", measurement).groupBy(*SERIES).agg(
         F.avg("value").alias("mean_probability")
     )
     if by_series:
@@ -191,15 +235,17 @@ def mean_probability(df: DataFrame, by_series: bool = True) -> DataFrame:
     return per_series.agg(F.avg("mean_probability").alias("mean_probability"))
 
 
-def extreme_series(df: DataFrame) -> DataFrame:
+def extreme_series(df: DataFrame, measurement: str | None = None) -> DataFrame:
     """Number of series whose last `extreme_event` is 1; 0 when there are none."""
-    last = latest(points(df, "extreme_event"), SERIES)
+    last = latest(points(df, "extreme_event", measurement), SERIES)
     return last.agg(F.count_if(F.col("value").cast("bigint") == 1).alias("extreme_series"))
 
 
-def level_distribution(df: DataFrame, field_name: str = "alert_level_num") -> DataFrame:
+def level_distribution(
+    df: DataFrame, field_name: str = "alert_level_num", measurement: str | None = None
+) -> DataFrame:
     """Series per alert level. Level is a tag, so a location counts under each it visited."""
-    last = latest(points(df, field_name), SERIES)
+    last = latest(points(df, field_name, measurement), SERIES)
     return last.groupBy("alert_level").agg(F.count(F.lit(1)).alias("series"))
 
 
@@ -208,13 +254,15 @@ def windowed_mean(
     every: str,
     keys: tuple[str, ...] = ("location_id", "location_name"),
     field_name: str = "probability",
+    measurement: str | None = None,
 ) -> DataFrame:
     """Mean per tumbling window and series, labelled by window stop; empty windows absent.
 
     Serves batch and streaming frames; the latter need a watermark on `time` first.
     """
     window = F.window("time", every)
-    means = points(df, field_name).groupBy(window, *keys).agg(F.avg("value").alias("mean_value"))
+    rows = points(df, field_name, measurement)
+    means = rows.groupBy(window, *keys).agg(F.avg("value").alias("mean_value"))
     return means.select(*keys, F.col("window.end").alias("time"), "mean_value")
 
 

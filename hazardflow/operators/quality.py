@@ -92,9 +92,9 @@ def cleaning_report(before: DataFrame, after: DataFrame) -> DataFrame:
     return both.unionByName(removed)
 
 
-def describe(df: DataFrame, columns: list[str] | None = None, max_columns: int = 10) -> DataFrame:
-    """(column, n, mean, stddev, min, max) of numeric columns, typed, from one pass."""
-    names = columns if columns is not None else numeric_columns(df)[:max_columns]
+def describe(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """(column, n, mean, stddev, min, max) of the numeric columns, typed, from one pass."""
+    names = columns if columns is not None else numeric_columns(df)
     aggs = []
     for i, n in enumerate(names):
         c = quoted(n).cast("double")
@@ -129,13 +129,18 @@ class Fills:
 
 
 def fit_imputer(
-    df: DataFrame, strategies: dict[str, object], relative_error: float = 0.0
+    df: DataFrame,
+    strategies: dict[str, object],
+    relative_error: float = 0.0,
+    skip_whole: bool = False,
 ) -> Fills:
     """Learn fill values: "median", "mode", "mean" or a constant per column.
 
     Null and NaN never take part. Means and approximate medians share one pass, modes another;
-    exact medians (`relative_error=0`) narrow a bracket over a few passes. Only fitted scalars
-    reach the driver. Fit on the training part to keep test rows out of the statistics.
+    exact medians (`relative_error=0`) narrow a bracket over a few passes, in the column's own
+    type. Only fitted scalars reach the driver. Fit on the training part to keep test rows out of
+    the statistics. `skip_whole` leaves out medians of columns without missing values, for use on
+    the fitted table itself.
     """
     present = {c: s for c, s in strategies.items() if c in df.columns}
     pick = {k: [c for c, s in present.items() if s == k] for k in LEARNT}
@@ -156,7 +161,7 @@ def fit_imputer(
         if relative_error > 0:
             found.update({c: row[f"med{i}"] for i, c in enumerate(pick["median"])})
     if relative_error == 0:
-        found.update(exact_quantiles(df, pick["median"]))
+        found.update(exact_quantiles(df, pick["median"], skip_whole=skip_whole))
     found.update(column_modes(df, pick["mode"]))
 
     values = {c: found[c] for c in present if found.get(c) is not None}
@@ -202,20 +207,27 @@ def column_modes(df: DataFrame, columns: list[str]) -> dict[str, object]:
 
 
 def apply_imputer(df: DataFrame, fills: Fills) -> DataFrame:
-    """Replace null and NaN by the fitted values, cast to each column's type."""
-    return df.fillna(fills.values) if fills.values else df
+    """Replace null and NaN by the fitted values, cast to each column's type. Any column name
+    works, dots included."""
+
+    def filled(name: str) -> Column:
+        if name not in fills.values:
+            return quoted(name)
+        value = F.lit(fills.values[name]).cast(df.schema[name].dataType)
+        return F.when(is_missing(df, name), value).otherwise(quoted(name)).alias(name)
+
+    return df.select(*[filled(c) for c in df.columns]) if fills.values else df
 
 
 def impute(
     df: DataFrame, strategies: dict[str, object], relative_error: float = 0.0
 ) -> DataFrame:
-    """Fit on the whole table and fill it; only columns with missing values are fitted."""
-    learnt = [c for c, s in strategies.items() if c in df.columns and s in LEARNT]
-    if learnt:
-        row = df.agg(*_missing_counts(df, learnt)).first()
-        whole = {c for i, c in enumerate(learnt) if row[f"m{i}"] == 0}
-        strategies = {c: s for c, s in strategies.items() if c not in whole}
-    return apply_imputer(df, fit_imputer(df, strategies, relative_error))
+    """Fit on the whole table and fill it.
+
+    Exact medians of columns without missing values are not searched for: the pass that sketches
+    all columns also counts what is missing. An exact median so takes two or three reads.
+    """
+    return apply_imputer(df, fit_imputer(df, strategies, relative_error, skip_whole=True))
 
 
 # --- filters ----------------------------------------------------------------------------------
@@ -239,11 +251,10 @@ def numeric_text_report(df: DataFrame, name: str) -> DataFrame:
 
 
 def drop_invalid(df: DataFrame, features: list[str]) -> DataFrame:
-    """Keep rows with every feature present and not NaN."""
-    valid = [~is_missing(df, f) for f in features]
-    keep = valid[0]
-    for v in valid[1:]:
-        keep = keep & v
+    """Keep rows with every feature present and not NaN; all rows when no feature is named."""
+    keep = F.lit(True)
+    for f in features:
+        keep = keep & ~is_missing(df, f)
     return df.where(keep)
 
 

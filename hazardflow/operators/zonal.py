@@ -6,112 +6,64 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hazardflow.functions.casts import known, quoted
-from hazardflow.operators.order import before_sums, bucket_of, every
+from hazardflow.operators.order import ROWS_PER_RANGE, before_sums, ranged
 from hazardflow.sources.schemas import ZONAL_STATS
 
-GROUP_ROWS = 100_000
-HOT_ROWS = 2_000_000
-HOT_ZONES = 1_000
-HOT_BUCKETS = 256
-SKETCH_ACCURACY = 10_000
-
-
 def zonal_stats(
     df: DataFrame,
     zone: str,
     variables: dict[str, Column | str] | list[str],
     stats: list[str] | dict[str, list[str]] | None = None,
-    group_rows: int = GROUP_ROWS,
-    hot_rows: int = HOT_ROWS,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """One row per zone with a column `{V}_{stat}` for each variable and statistic.
 
     `stats` lists the statistics of all variables, or maps each variable to its own.
 
-    Null and NaN cells are ignored; a zone without cells has count 0 and nulls. The median
-    averages the two middle cells, the mode takes the smallest of equally frequent values.
+    Null and NaN cells are ignored; a zone without cells has count 0 and nulls. -0.0 counts as
+    0.0. The median averages the two middle cells, the mode takes the smallest of equally frequent
+    values.
 
-    Median and mode keep a zone's distinct values in memory, so the size of the largest zones
-    is checked first. Up to `group_rows` cells, everything is one aggregate. Beyond it, cells
-    are counted per (zone, variable, value) and ranks come from running counts over those;
-    zones above `hot_rows` cells are cut into value ranges, so no task sorts a whole hot zone.
+    Maximum, minimum, sum, count and mean are one partial aggregate. For median and mode, cells
+    are counted per (zone, variable, value) before anything is shuffled, the counts are laid out
+    in value ranges, and ranks come from running counts within a range. The number of ranges
+    follows the number of cells and a zone may have any number of them, so no task sorts a whole
+    hot zone; the size of a zone never changes its result.
     """
     if not isinstance(variables, dict):
         variables = {v: v for v in variables}
     if not isinstance(stats, dict):
         stats = {v: stats or ZONAL_STATS for v in variables}
     cells = df.select(
-        quoted(zone).alias("zone"), *[known(c).alias(v) for v, c in variables.items()]
+        quoted(zone).alias("zone"),
+        *[(known(c) + F.lit(0.0)).alias(v) for v, c in variables.items()],
     )
     names = list(variables)
-    largest = []
-    if _needs_values(stats):
-        largest = _largest_zones(cells, group_rows)
-    if largest:
-        hot = [z for z, n in largest if n > hot_rows]
-        out = _ranked(cells, names, stats, _cuts(cells, names, hot))
-    else:
-        out = _direct(cells, names, stats)
-    return out.withColumnRenamed("zone", zone)
-
-
-def _needs_values(stats: dict[str, list[str]]) -> bool:
-    return any({"median", "mode"} & set(wanted) for wanted in stats.values())
-
-
-def _largest_zones(cells: DataFrame, more_than: int) -> list[tuple]:
-    """(zone, cells) of the zones above a size, largest first, at most `HOT_ZONES`.
-
-    A zone beyond the largest thousand holds less than a thousandth of all cells, so the
-    bound costs nothing that matters.
-    """
-    sizes = cells.groupBy("zone").agg(F.count(F.lit(1)).alias("n"))
-    top = sizes.where(F.col("n") > more_than).orderBy(F.desc("n")).limit(HOT_ZONES)
-    return [(r["zone"], r["n"]) for r in top.collect()]
-
-
-def _direct(cells: DataFrame, names: list[str], stats: dict[str, list[str]]) -> DataFrame:
-    make = {
-        "max": F.max,
-        "min": F.min,
-        "median": lambda v: F.percentile(v, 0.5),
-        "sum": F.sum,
-        "mode": lambda v: F.mode(v, deterministic=True),
-        "count": F.count,
-        "mean": F.avg,
-    }
-    if _needs_values(stats):
-        # Cells travel once as plain rows; partial value counts would be larger.
-        cells = cells.repartition("zone")
-    return cells.groupBy("zone").agg(
-        *[make[s](v).alias(f"{v}_{s}") for v in names for s in stats[v]]
+    make = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.count, "mean": F.avg}
+    out = cells.groupBy("zone").agg(
+        *[make[s](v).alias(f"{v}_{s}") for v in names for s in stats[v] if s in make],
+        F.count(F.lit(1)).alias("_cells"),
     )
-
-
-def _ranked(
-    cells: DataFrame, names: list[str], stats: dict[str, list[str]], cuts: DataFrame | None
-) -> DataFrame:
+    if ordered := {v: [s for s in stats[v] if s not in make] for v in names}:
+        if any(ordered.values()):
+            found = _ordered(cells, {v: s for v, s in ordered.items() if s}, rows_per_range)
+            both = out.alias("p").join(found.alias("o"), F.col("p.zone").eqNullSafe(F.col("o.zone")), "left")
+            out = both.select("p.*", *[f"o.`{c}`" for c in found.columns if c != "zone"])
+    listed = [f"{v}_{s}" for v in names for s in stats[v]]
+    return out.select(F.col("zone").alias(zone), *[quoted(c) for c in listed])
+
+
+def _ordered(cells: DataFrame, stats: dict[str, list[str]], rows_per_range: int) -> DataFrame:
+    """Median and mode per zone, from counts per distinct value."""
+    names = list(stats)
     counted = (
         cells.unpivot(["zone"], names, "variable", "value")
+        .where("value is not null")
         .groupBy("zone", "variable", "value")
-        .agg(F.count("value").alias("cells"))
+        .agg(F.count(F.lit(1)).alias("cells"))
     )
-    if cuts is None:
-        whole = Window.partitionBy("zone", "variable")
-        earlier = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-        ranked = counted.withColumns(
-            {
-                "before_cells": F.coalesce(F.sum("cells").over(earlier), F.lit(0)),
-                "all_cells": F.sum("cells").over(whole),
-            }
-        )
-    else:
-        same = F.col("zone").eqNullSafe(F.col("hot")) & (F.col("variable") == F.col("of"))
-        cut = counted.join(F.broadcast(cuts), same, "left").withColumn(
-            "bucket",
-            F.coalesce(bucket_of(F.col("value"), F.col("bounds"), F.col("coarse")), F.lit(0))
-        )
-        ranked = before_sums(cut.drop("hot", "of", "bounds", "coarse"), ["zone", "variable"], "value", ["cells"])
+    cut = ranged(counted, ["zone", "variable", "value"], cells.count() * len(names), rows_per_range)
+    ranked = before_sums(cut, ["zone", "variable"], "value", ["cells"])
 
     # Ranks of the lower and upper middle cell; they are equal for odd counts.
     lower = F.floor((F.col("all_cells") + 1) / 2)
@@ -124,79 +76,39 @@ def _ranked(
         return F.max(F.when(here, F.col("value")))
 
     per_variable = ranked.groupBy("zone", "variable").agg(
-        F.max("value").alias("max"),
-        F.min("value").alias("min"),
-        F.sum(F.col("value") * F.col("cells")).alias("sum"),
-        F.sum("cells").alias("count"),
-        at(lower).alias("lower"),
-        at(upper).alias("upper"),
+        ((at(lower) + at(upper)) / 2).alias("median"),
         F.min_by("value", F.struct((-F.col("cells")).alias("n"), F.col("value"))).alias("mode"),
     )
-    wanted = {
-        "max": F.col("max"),
-        "min": F.col("min"),
-        "median": (F.col("lower") + F.col("upper")) / 2,
-        "sum": F.col("sum"),
-        "mode": F.col("mode"),
-        "count": F.col("count"),
-        "mean": F.try_divide("sum", F.col("count").cast("double")),
-    }
-    used = [s for s in wanted if any(s in listed for listed in stats.values())]
-    long = per_variable.select("zone", "variable", *[wanted[s].alias(s) for s in used])
-    return long.groupBy("zone").agg(
+    return per_variable.groupBy("zone").agg(
         *[
             F.max(F.when(F.col("variable") == v, F.col(s))).alias(f"{v}_{s}")
-            for v in names
-            for s in stats[v]
+            for v, listed in stats.items()
+            for s in listed
         ]
     )
 
 
 def with_neighbours(stats: DataFrame, zone: str, names: list[str], near: Column) -> DataFrame:
-    """Add `Neighbour_{c}` for the listed columns, from the zone that has this one beside it.
+    """Add `Neighbour_{c}` for the listed columns, from a zone that has this one beside it.
 
     `near` is the zone that a row is the neighbour of. Each row is sent to its own zone and to
     that one, and both halves meet in one aggregate: joining the statistics to themselves would
-    compute them twice. A zone must have at most one neighbour.
+    compute them twice. Of several neighbours the one with the smallest zone gives the whole row;
+    of several rows of a zone, the smallest by all columns stands for it.
     """
     rest = [c for c in stats.columns if c != zone]
     body = [F.struct(*[quoted(c) for c in rest]).alias("row")]
     sent = F.array(
-        F.struct(quoted(zone).alias("zone"), F.lit(True).alias("own"), *body),
-        F.struct(near.alias("zone"), F.lit(False).alias("own"), *body),
+        F.struct(quoted(zone).alias("zone"), quoted(zone).alias("of"), F.lit(True).alias("own"), *body),
+        F.struct(near.alias("zone"), quoted(zone).alias("of"), F.lit(False).alias("own"), *body),
     )
-    halves = stats.select(F.explode(sent).alias("s")).select("s.zone", "s.own", "s.row.*")
+    halves = stats.select(F.explode(sent).alias("s")).select("s.zone", "s.of", "s.own", "s.row")
     met = halves.groupBy("zone").agg(
-        F.max("own").alias("_own"),
-        *[F.max(F.when(F.col("own"), quoted(c))).alias(c) for c in rest],
-        *[F.max(F.when(~F.col("own"), quoted(c))).alias(f"Neighbour_{c}") for c in names],
-    )
-    return met.where("_own").drop("_own").withColumnRenamed("zone", zone)
-
-
-def _cuts(cells: DataFrame, names: list[str], hot: list) -> DataFrame | None:
-    """Value cuts of the hot zones, or None when there are none.
-
-    Zones and cuts are bounded in number, so collecting and broadcasting them is safe. The cuts
-    come from sketches and only spread the work; they do not enter the result.
-    """
-    if not hot:
-        return None
-    spark = cells.sparkSession
-    kind = cells.schema["zone"].dataType.simpleString()
-    listed = spark.createDataFrame([(z,) for z in hot], f"hot {kind}")
-    shares = [i / HOT_BUCKETS for i in range(1, HOT_BUCKETS)]
-    sketched = (
-        cells.join(F.broadcast(listed), F.col("zone").eqNullSafe(F.col("hot")), "left_semi")
-        .groupBy("zone")
-        .agg(*[F.percentile_approx(v, shares, SKETCH_ACCURACY).alias(v) for v in names])
+        F.min(F.when(F.col("own"), F.col("row"))).alias("_own"),
+        F.min(F.when(~F.col("own"), F.struct("of", "row"))).alias("_near"),
     )
-    # Materialised once: a sketch may differ between evaluations, the cuts must not.
-    rows = []
-    for r in sketched.collect():
-        for v in names:
-            bounds = sorted(set(r[v] or []))
-            rows.append((r["zone"], v, bounds, every(bounds)))
-    return spark.createDataFrame(
-        rows, f"hot {kind}, of string, bounds array<double>, coarse array<double>"
+    return met.where("_own is not null").select(
+        F.col("zone").alias(zone),
+        *[F.col(f"_own.`{c}`").alias(c) for c in rest],
+        *[F.col(f"_near.row.`{c}`").alias(f"Neighbour_{c}") for c in names],
     )

@@ -29,14 +29,11 @@ from hazardflow.plans.views import derive, table, view
 from hazardflow.sources import files, messages, schemas
 from hazardflow.streaming import landing, scoring
 
-# Stand-in fill and small forests, so that the catalogue runs in seconds on test data.
+# Stand-in fill of the queries that don't learn one.
 RAIN_FILL = 125.0
-SMALL_FLOOD = {"numTrees": 10, "maxDepth": 6}
-SMALL_FIRE = {"numTrees": 10, "maxDepth": 5}
 
-# Monitoring moments inside the event data.
-MONTH = ("2024-01-01 00:00:00", "2024-02-01 00:00:00")
-MAP_RANGE = ("2024-01-05 00:00:00", "2024-01-25 00:00:00")
+# The range of the two queries about time ranges.
+TIME_RANGE = ("2024-01-05 00:00:00", "2024-01-25 00:00:00")
 
 CELL_VARIABLES = {v: v.lower() for v in schemas.ZONAL_VARIABLES}
 
@@ -61,7 +58,7 @@ def scored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def long_points(spark: SparkSession, d: str) -> DataFrame:
-    return P.time_range(view(spark, d, "points_long"), *MONTH)
+    return view(spark, d, "points_long")
 
 
 def zone_features(spark: SparkSession, d: str) -> DataFrame:
@@ -76,16 +73,18 @@ def zone_features(spark: SparkSession, d: str) -> DataFrame:
 
 
 def fire_table(spark: SparkSession, d: str) -> DataFrame:
-    """Wide fire table under the full zonal grammar, one row per zone, keyed by `polygon`."""
+    """Wide fire table under the full zonal grammar: one row per fire, with its zone's statistics
+    and those of the zone beside. Zones are computed once, stored and read back."""
+    fires = view(spark, d, "fires")
+    power = fires.groupBy("zone").agg(F.avg(casts.to_numeric("frp")).alias("frp"))
     stats = zonal_stats(view(spark, d, "cells"), "zone", CELL_VARIABLES)
-    frp = view(spark, d, "dirty_frp").withColumnRenamed("fire_id", "zone")
-    own = stats.join(view(spark, d, "zone_weather"), "zone").join(frp, "zone", "left")
+    own = stats.join(view(spark, d, "zone_weather"), "zone").join(power, "zone", "left")
     near = [c for c in stats.columns if c != "zone"]
     near += ["Shape", "c_latitude", "acq_time", "frp"]
-    paired = with_neighbours(own, "zone", near, F.col("zone") - 1)
-    return C.cast_columns(paired, {"Neighbour_frp": "double"}).withColumnRenamed(
-        "zone", "polygon"
-    )
+    path = files.scratch_dir(spark, "zones")
+    files.write_layer(with_neighbours(own, "zone", near, F.col("zone") - 1).drop("frp"), path)
+    zones = files.read_layer(spark, path)
+    return fires.join(zones, "zone", "left").drop("zone").withColumnRenamed("fire_id", "polygon")
 
 
 # --- quality ----------------------------------------------------------------------------------
@@ -125,7 +124,9 @@ def impute_labels(spark, d):
 
 
 def numeric_summary(spark, d):
-    df = Q.describe(readings(spark, d))
+    """All numeric columns: readings, and the flags and index derived from them."""
+    df = readings(spark, d)
+    df = Q.describe(df.withColumns({**flood.flags(), **flood.risk()}))
     return df.withColumns({"mean": F.round("mean", 7), "stddev": F.round("stddev", 6)})
 
 
@@ -280,22 +281,50 @@ def points_wide(spark, d):
 
 def fire_points(spark, d):
     df = fire_alert_zones(spark, d)
-    return P.to_points(df, P.FIRE_POINTS)
+    return P.to_points(df, P.FIRE_POINTS, keep=["fire_id"])
 
 
 def fire_alert_zones(spark, d):
+    """Every fire with its zone's weather, its class and its level."""
     weather = view(spark, d, "zone_weather").fillna({"PRCP": 0.0})
-    classed = fire.fire_target(
-        view(spark, d, "dirty_frp").withColumnRenamed("fire_id", "zone"), output="prediction"
-    )
-    rows = fire.fire_features(weather.join(classed.select("zone", "prediction"), "zone"))
-    return A.fire_alert(rows).select(
+    classed = fire.fire_target(view(spark, d, "fires"), output="prediction")
+    rows = classed.select("fire_id", "zone", "prediction").join(weather, "zone", "left")
+    return A.fire_alert(fire.fire_features(rows)).select(
         "*",
         F.concat(F.lit("ZONE_"), F.col("zone").cast("string")).alias("location_id"),
         F.lit("2024-01-01 00:00:00").cast("timestamp_ntz").alias("processing_time"),
     )
 
 
+def both_measurements(spark, d):
+    """Flood and fire points in one long table, as they are stored."""
+    flood_points = P.to_points(enriched(spark, d), P.FLOOD_POINTS)
+    fire_rows = P.to_points(fire_alert_zones(spark, d), P.FIRE_POINTS)
+    return P.points_long(flood_points).unionByName(
+        P.points_long(fire_rows, P.FIRE_POINTS), allowMissingColumns=True
+    )
+
+
+def measured_predictions(spark, d):
+    """Predictions per series, of one measurement at a time."""
+    long = both_measurements(spark, d)
+    parts = [
+        P.prediction_count(long, measurement=m).withColumn("measurement", F.lit(m))
+        for m in (P.FLOOD_POINTS.measurement, P.FIRE_POINTS.measurement)
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def stored_points(spark, d):
+    """Points stored by date and measurement, and two days of one measurement read back."""
+    root = files.scratch_dir(spark, "points")
+    P.write_points(long_points(spark, d), root)
+    back = P.read_points(
+        spark, root, "2024-01-05 00:00:00", "2024-01-07 00:00:00", P.FLOOD_POINTS.measurement
+    )
+    return back.drop("date", "batch_id")
+
+
 def points_long(spark, d):
     """Size and range of every long series."""
     long = P.points_long(P.to_points(enriched(spark, d), P.FLOOD_POINTS))
@@ -316,7 +345,17 @@ def points_dedup(spark, d):
 
 
 def alert_map(spark, d):
-    return P.alert_map(P.time_range(view(spark, d, "points_long"), *MAP_RANGE))
+    return P.alert_map(long_points(spark, d), measurement=P.FLOOD_POINTS.measurement)
+
+
+def time_range(spark, d):
+    """Points of a stretch of time."""
+    return P.time_range(long_points(spark, d), *TIME_RANGE)
+
+
+def alert_map_range(spark, d):
+    """The map as it stood within a stretch of time."""
+    return P.alert_map(time_range(spark, d), measurement=P.FLOOD_POINTS.measurement)
 
 
 def latest_values(spark, d):
@@ -411,6 +450,20 @@ def sample_rows(spark, d):
     return R.sample(scored(spark, d).select("reading_id", "alert_level"), 10)
 
 
+def sample_check(spark, d):
+    """A sample: its size, and how many of its rows are not in the table."""
+    df = scored(spark, d).select("reading_id", "alert_level")
+    taken = R.sample(df, 10)
+    strangers = taken.join(df, ["reading_id", "alert_level"], "left_anti")
+    return taken.agg(F.count("*").alias("rows")).join(
+        F.broadcast(strangers.agg(F.count("*").alias("strangers"))), F.lit(True)
+    )
+
+
+def column_listing(spark, d):
+    return C.schema_table(readings(spark, d))
+
+
 def flood_pipeline(spark, d):
     """Silver to report: fills learnt from the data, features, score, levels, top risks."""
     cleaned = Q.impute(readings(spark, d), flood_plan.FLOOD_FILLS)
@@ -453,9 +506,24 @@ def _training_partitions(spark: SparkSession) -> int:
     return 2 * spark.sparkContext.defaultParallelism
 
 
-def _flood_run(spark, d):
-    return flood_plan.train_flood_job(
-        readings(spark, d), "reading_id", SMALL_FLOOD, partitions=_training_partitions(spark)
+# Trained models of this application, by kind and folder: several queries look at one model.
+_TRAINED: dict[tuple[str, str, str], object] = {}
+
+
+def _once(spark: SparkSession, kind: str, d: str, train: Callable):
+    key = (spark.sparkContext.applicationId, kind, d)
+    if key not in _TRAINED:
+        _TRAINED[key] = train()
+    return _TRAINED[key]
+
+
+def _flood_run(spark, d) -> flood_plan.FloodRun:
+    """The published flood forest on this folder's readings."""
+    return _once(
+        spark, "flood", d,
+        lambda: flood_plan.train_flood_job(
+            readings(spark, d), "reading_id", partitions=_training_partitions(spark)
+        ),
     )
 
 
@@ -468,35 +536,90 @@ def train_flood(spark, d):
     return named[0].unionByName(named[1])
 
 
+def training_rows(spark, d):
+    """Rows per part that the flood job stored, and those a model can use."""
+    gold = _flood_run(spark, d).gold
+    usable = Q.drop_invalid(gold, schemas.FLOOD_MODEL_FEATURES).groupBy("part").agg(F.count("*").alias("usable"))
+    rows = gold.groupBy("part").agg(F.count("*").alias("rows"), F.sum(schemas.FLOOD_TARGET).alias("floods"))
+    return rows.join(usable, "part")
+
+
 def model_report(spark, d):
     return _flood_run(spark, d).report
 
 
+def report_sections(spark, d):
+    """What a report lists: sections and names."""
+    return model_report(spark, d).select("section", "name")
+
+
+def _reloaded(spark, d) -> M.Fitted:
+    path = files.scratch_dir(spark, "flood-model")
+    M.save_model(_flood_run(spark, d).fitted, path)
+    return M.load_model(spark, path)
+
+
 def score_flood_batch(spark, d):
-    """Train, save, load, and score all readings with the loaded model."""
+    """Save, load, and score all readings with the loaded model."""
     filled = Q.impute(readings(spark, d), flood_plan.FLOOD_FILLS)
     gold = flood_plan.flood_gold(filled, "reading_id")
-    path = files.scratch_dir(spark, "flood-model")
-    M.save_model(M.train_flood(gold, SMALL_FLOOD, partitions=_training_partitions(spark)), path)
-    rows = M.score(gold, M.load_model(spark, path)).withColumn("prob_flood", A.prob_of())
+    rows = M.score(gold, _reloaded(spark, d)).withColumn("prob_flood", A.prob_of())
     return A.flood_alert(rows).select(
         "reading_id", "prediction", "prob_flood", "alert_level", "alert_level_num"
     )
 
 
-def _fire_model(spark, d):
-    gold = fire.fire_features(fire.fire_target(clean_fire(fire_table(spark, d))))
-    return train_fire_job(
-        gold, "polygon", SMALL_FIRE, partitions=_training_partitions(spark)
+def score_all_rows(spark, d):
+    """Readings with holes under a model: all stay, those with a missing feature unscored; the
+    loaded model must agree with the trained one, and probabilities must be such."""
+    gold = flood_plan.flood_gold(readings(spark, d), "reading_id")
+    p = F.when(F.col("scored"), A.prob_of())
+    a = M.score_all(gold, _flood_run(spark, d).fitted).withColumn("p", p)
+    b = M.score_all(gold, _reloaded(spark, d)).withColumn("p", p)
+    names = ["reading_id", "p", "prediction"]
+    signed = a.select(*names, F.lit(1).alias("sign")).unionByName(b.select(*names, F.lit(-1).alias("sign")))
+    # Rows of one key pair off; what is left over differs between the two models.
+    differs = signed.groupBy(*names).agg(F.abs(F.sum("sign")).alias("d")).agg(F.sum("d").alias("changed_by_reload"))
+    counts = a.agg(
+        F.count("*").alias("rows"),
+        F.count_if("scored").alias("scored"),
+        F.count_if(F.col("prediction").isNull()).alias("unscored"),
+        F.count_if(~F.coalesce(F.col("p").between(0, 1), F.lit(True))).alias("no_probability"),
     )
+    return counts.join(F.broadcast(differs), F.lit(True))
+
+
+def _fire_run(spark, d):
+    """The published fire forest on this folder's fires."""
+
+    def train():
+        gold = fire.fire_features(fire.fire_target(clean_fire(fire_table(spark, d))))
+        path = files.scratch_dir(spark, "fire-gold")
+        files.write_layer(gold, path)
+        stored = files.read_layer(spark, path)
+        return (*train_fire_job(stored, "polygon", partitions=_training_partitions(spark)), stored)
+
+    return _once(spark, "fire", d, train)
 
 
 def train_fire(spark, d):
-    return _fire_model(spark, d)[1]
+    return _fire_run(spark, d)[1]
+
+
+def fire_training_rows(spark, d):
+    """Fires with a usable power, by class: what the fire job trains and tests on."""
+    return _fire_run(spark, d)[2].groupBy(schemas.FIRE_TARGET).agg(F.count("*").alias("fires"))
 
 
 def importance(spark, d):
-    return M.importance(_fire_model(spark, d)[0], spark, top=10)
+    return M.importance(_fire_run(spark, d)[0], spark, top=10)
+
+
+def importance_total(spark, d):
+    """Importances of the flood model: its features, each once, adding up to 1."""
+    ranked = M.importance(_flood_run(spark, d).fitted, spark)
+    total = ranked.agg(F.round(F.sum("importance"), 6).alias("total"))
+    return ranked.select("feature").join(F.broadcast(total), F.lit(True))
 
 
 # --- files ------------------------------------------------------------------------------------
@@ -514,6 +637,24 @@ def gold_csv(spark, d):
     return files.read_csv(spark, path, schemas.flood_gold_schema())
 
 
+def csv_by_name(spark, d):
+    """Columns in another order, with other case and blanks around the names."""
+    path = files.scratch_dir(spark, "shuffled")
+    gold = flood_plan.flood_gold(readings(spark, d))
+    names = sorted(gold.columns, reverse=True)
+    shuffled = gold.select(*names).toDF(*[f" {n.upper()} " for n in names])
+    files.export_csv(shuffled, path)
+    return files.read_csv(spark, path, schemas.flood_gold_schema())
+
+
+def csv_unparsed(spark, d):
+    """Values that hold text but no number."""
+    path = files.scratch_dir(spark, "dirty")
+    files.export_csv(view(spark, d, "dirty_frp").select("frp", "fire_id"), path)
+    wanted = T.StructType([T.StructField("fire_id", T.LongType()), T.StructField("frp", T.DoubleType())])
+    return files.unparsed(files.read_csv_text(spark, path, wanted), wanted)
+
+
 def multiline_csv(spark, d):
     """Texts with line breaks and quotes through a multi-line CSV."""
     path = files.scratch_dir(spark, "documents")
@@ -599,19 +740,78 @@ def _flood_stream(spark, d, root: str) -> None:
     rows = scoring.score_flood_stream(
         flood_messages(spark, d), risk_scorer, {"rainfall_mm": RAIN_FILL}
     )
-    dim = view(spark, d, "locations")
-
-    def shape(batch: DataFrame) -> DataFrame:
-        return P.to_points(enrich_location(batch, dim), P.FLOOD_POINTS, keep=["timestamp"])
-
-    sink = scoring.parquet_sink(f"{root}/points", f"{root}/alerts", shape)
+    shape = scoring.flood_points_shape(view(spark, d, "locations"), keep=["timestamp"])
+    # A test message is its own event, so its number is part of the identity here.
+    keys = [*P.identity(P.FLOOD_POINTS), "timestamp"]
+    sink = scoring.parquet_sink(f"{root}/points", f"{root}/alerts", shape, keys)
     _drain(scoring.run_scoring(rows, sink, f"{root}/checkpoint", every=None))
 
 
 def score_flood_stream(spark, d):
     root = files.scratch_dir(spark, "flood-stream")
     _flood_stream(spark, d, root)
-    return files.read_layer(spark, f"{root}/points").drop("time", "batch_id")
+    return files.read_layer(spark, f"{root}/points").drop("time", "batch_id", "date")
+
+
+def points_identity_stream(spark, d):
+    """The job's own sink: one point per series and stamp, and all of a batch have one stamp."""
+    root = files.scratch_dir(spark, "flood-identity")
+    rows = scoring.score_flood_stream(
+        flood_messages(spark, d), risk_scorer, {"rainfall_mm": RAIN_FILL}
+    )
+    sink = scoring.flood_sink(f"{root}/points", None, view(spark, d, "locations"))
+    _drain(scoring.run_scoring(rows, sink, f"{root}/checkpoint", every=None))
+    return files.read_layer(spark, f"{root}/points").groupBy(
+        "location_id", "alert_level", "location_name"
+    ).agg(F.count(F.lit(1)).alias("points"), F.countDistinct("time", "batch_id").alias("stamps"))
+
+
+LANDING_PARTS = 4
+
+
+def _reading_files(spark, d, root: str, parts: range) -> None:
+    """Readings as message files, one file for each part of the order keys."""
+    rows = view(spark, d, "readings").select(
+        "reading_id", (F.conv(F.substring(F.md5(F.col("reading_id").cast("binary")), 1, 4), 16, 10).cast("int") % LANDING_PARTS).alias("part")
+    )
+    body = F.to_json(F.struct(F.col("reading_id").alias("timestamp"), "part")).alias("value")
+    for n in parts:
+        rows.where(F.col("part") == n).select(body).coalesce(1).write.mode("append").parquet(f"{root}/in")
+
+
+def _landed(spark, root: str, query_rows: DataFrame) -> None:
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
+
+    _drain(scoring.run_scoring(query_rows, write, f"{root}/checkpoint", every=None))
+
+
+def _limited_stream(spark, root: str, limit: int) -> DataFrame:
+    value = T.StructType([T.StructField("value", T.StringType())])
+    raw = messages.message_stream(spark, "parquet", {"path": f"{root}/in"}, limit, value)
+    fields = T.StructType([T.StructField("timestamp", T.StringType()), T.StructField("part", T.IntegerType())])
+    return messages.decode(raw, fields, stamp=True)
+
+
+def rate_limited_stream(spark, d):
+    """One file per trigger: each part is a batch of its own, under one processing time."""
+    root = files.scratch_dir(spark, "limited")
+    _reading_files(spark, d, root, range(LANDING_PARTS))
+    _landed(spark, root, _limited_stream(spark, root, 1))
+    return files.read_layer(spark, f"{root}/out").groupBy("part").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.countDistinct("batch_id").alias("batches"),
+        F.countDistinct("processing_time").alias("stamps"),
+    )
+
+
+def restarted_stream(spark, d):
+    """Half of the files, a stop, the other half, and a start from the same progress."""
+    root = files.scratch_dir(spark, "restarted")
+    for parts in (range(LANDING_PARTS // 2), range(LANDING_PARTS // 2, LANDING_PARTS)):
+        _reading_files(spark, d, root, parts)
+        _landed(spark, root, _limited_stream(spark, root, 2))
+    return files.read_layer(spark, f"{root}/out").select(F.col("timestamp").alias("reading_id"), "part")
 
 
 def alerts_stream(spark, d):
@@ -628,17 +828,19 @@ def alerts_stream(spark, d):
 def score_fire_stream(spark, d):
     root = files.scratch_dir(spark, "fire-stream")
     rows = scoring.score_fire_stream(fire_messages(spark, d), fire_risk_scorer)
-    sink = scoring.parquet_sink(f"{root}/points", None, scoring.fire_points_shape())
+    sink = scoring.fire_sink(f"{root}/points")
     _drain(scoring.run_scoring(rows, sink, f"{root}/checkpoint", every=None))
-    return files.read_layer(spark, f"{root}/points").drop("time", "batch_id")
+    return files.read_layer(spark, f"{root}/points").drop("time", "batch_id", "date")
 
 
 def windowed_mean_stream(spark, d):
     root = files.scratch_dir(spark, "windows")
     long = derive(spark, "points_long", {"events": table_stream(spark, d, "events")})
     means = landing.windowed_mean_stream(long, "1 day", "1 hour")
-    _drain(landing.append_parquet(means, f"{root}/data", f"{root}/checkpoint"))
-    done = files.read_layer(spark, f"{root}/data")
+    _drain(landing.upsert_parquet(means, f"{root}/data", f"{root}/checkpoint"))
+    done = landing.newest(
+        files.read_layer(spark, f"{root}/data"), ["location_id", "location_name", "time"]
+    )
     return done.withColumn("mean_value", F.round("mean_value", 10))
 
 
@@ -679,9 +881,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enrich_location": enrich,
     "points": points_wide,
     "fire_points": fire_points,
+    "measured_predictions": measured_predictions,
+    "stored_points": stored_points,
     "points_long": points_long,
     "points_dedup": points_dedup,
     "alert_map": alert_map,
+    "time_range": time_range,
+    "alert_map_range": alert_map_range,
     "latest_values": latest_values,
     "field_points": field_points,
     "prediction_count": prediction_count,
@@ -702,6 +908,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_predictions": latest_predictions,
     "latest_alerts": latest_alerts,
     "sample_rows": sample_rows,
+    "sample_check": sample_check,
+    "column_listing": column_listing,
     "split_three": split_three,
     "split_two": split_two,
     "standardize": standardize,
@@ -709,15 +917,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "classification_metrics": classification_metrics,
     "auc": auc,
     "train_flood": train_flood,
+    "training_rows": training_rows,
     "model_report": model_report,
+    "report_sections": report_sections,
     "score_flood_batch": score_flood_batch,
+    "score_all_rows": score_all_rows,
     "train_fire": train_fire,
+    "fire_training_rows": fire_training_rows,
     "importance": importance,
+    "importance_total": importance_total,
     "layer_round_trip": layer_round_trip,
     "gold_csv": gold_csv,
+    "csv_by_name": csv_by_name,
+    "csv_unparsed": csv_unparsed,
     "multiline_csv": multiline_csv,
     "land_stream": land_stream,
     "score_flood_stream": score_flood_stream,
+    "points_identity_stream": points_identity_stream,
+    "rate_limited_stream": rate_limited_stream,
+    "restarted_stream": restarted_stream,
     "alerts_stream": alerts_stream,
     "score_fire_stream": score_fire_stream,
     "windowed_mean_stream": windowed_mean_stream,

@@ -21,15 +21,20 @@ def console(predictions: DataFrame, alerts: DataFrame, tie: str) -> dict[str, Da
     }
 
 
-def panels(points_long: DataFrame, now: datetime, every: str = "1 minute") -> dict[str, DataFrame]:
-    """The six monitoring panels at a given moment: map 1 h back, the rest 24 h back."""
+def panels(
+    points_long: DataFrame,
+    now: datetime,
+    every: str = "1 minute",
+    measurement: str = P.FLOOD_POINTS.measurement,
+) -> dict[str, DataFrame]:
+    """The six monitoring panels of a measurement at a given moment: map 1 h back, the rest 24 h."""
     hour = P.time_range(points_long, now - timedelta(hours=1), now)
     day = P.time_range(points_long, now - timedelta(hours=24), now)
     return {
-        "map": P.alert_map(hour),
-        "prediction_count": P.prediction_count(day),
-        "mean_probability": P.mean_probability(day),
-        "extreme_series": P.extreme_series(day),
-        "probability_series": P.windowed_mean(day, every),
-        "level_distribution": P.level_distribution(day),
+        "map": P.alert_map(hour, measurement=measurement),
+        "prediction_count": P.prediction_count(day, measurement=measurement),
+        "mean_probability": P.mean_probability(day, measurement=measurement),
+        "extreme_series": P.extreme_series(day, measurement=measurement),
+        "probability_series": P.windowed_mean(day, every, measurement=measurement),
+        "level_distribution": P.level_distribution(day, measurement=measurement),
     }

@@ -6,8 +6,7 @@ from hazardflow.plans.views import view_sql
 
 # Quantities are stated here again, on purpose: this file checks the operators.
 RAIN_FILL = 125
-MONTH = "time >= timestamp '2024-01-01 00:00:00' and time < timestamp '2024-02-01 00:00:00'"
-MAP_RANGE = "time >= timestamp '2024-01-05 00:00:00' and time < timestamp '2024-01-25 00:00:00'"
+TIME_RANGE = "time >= timestamp '2024-01-05 00:00:00' and time < timestamp '2024-01-25 00:00:00'"
 
 FEATURES = {
     "rain_water_interaction": "rainfall_mm * water_level_m",
@@ -42,6 +41,13 @@ MODEL_FEATURES = [
     "rainfall_mm", "water_level_m", "river_discharge", "elevation_m", "historical_floods",
     "rain_water_interaction", "discharge_per_rain", "flood_risk_index", "extreme_event",
 ]
+# The order of the columns in the view.
+READING_ORDER = [
+    "reading_id", "location_id", "rainfall_mm", "water_level_m", "river_discharge",
+    "elevation_m", "temperature_c", "humidity_pct", "population_density",
+    "historical_floods", "infrastructure", "land_cover", "soil_type", "processing_time",
+    "flood_occurred",
+]
 PAIRED = ["ELEV", "SLP", "EVT", "EVH", "EVC", "CBD", "CBH", "CC"]
 SERIES = "location_id, location_name, alert_level, field"
 
@@ -141,15 +147,8 @@ def _points_dedup() -> str:
     )
 
 
-def _month() -> dict[str, str]:
-    return {
-        "all_points": view_sql("points_long"),
-        "long": f"select * from all_points where {MONTH}",
-    }
-
-
-def _from_month(select: str, **more: str) -> str:
-    return _with(**_month(), **more) + select
+def _from_long(select: str, **more: str) -> str:
+    return _with(long=view_sql("points_long"), **more) + select
 
 
 def _last(field: str) -> str:
@@ -178,13 +177,18 @@ def _null_profile() -> str:
 
 
 def _numeric_summary() -> str:
+    derived = [
+        "critical_rainfall", "critical_water", "low_elevation", "high_discharge",
+        "extreme_event", "flood_risk_index",
+    ]
     each = " union all ".join(
         f"select '{c}' as \"column\", count({c}) as n, round(avg(cast({c} as double)), 7) as mean,"
         f" round(stddev_samp(cast({c} as double)), 6) as stddev,"
-        f" min(cast({c} as double)) as min, max(cast({c} as double)) as max from readings"
-        for c in NUMERIC
+        f" min(cast({c} as double)) as min, max(cast({c} as double)) as max from wide"
+        for c in [*NUMERIC, *derived]
     )
-    return _with(readings=view_sql("readings")) + each
+    wide = f"select *, {_named({n: FEATURES[n] for n in derived})} from readings"
+    return _with(readings=view_sql("readings"), wide=wide) + each
 
 
 def _ingest_summary() -> str:
@@ -350,17 +354,21 @@ DIRTY_VALUE = {
 }
 
 
+FIRE_ROWS = {
+    "fires": view_sql("fires"),
+    "weather": view_sql("zone_weather"),
+    "rows_": "select f.fire_id, f.zone as place, w.*, coalesce(\"PRCP\", 0) as wet,"
+    f" {FRP_CLASS} as cls from (select *, try_cast(frp as double) as v from fires) f"
+    " left join weather w on f.zone = w.zone",
+}
+
+
 def _fire_points() -> str:
     return (
-        _with(
-            **DIRTY_VALUE,
-            weather=view_sql("zone_weather"),
-            rows_=f"select w.*, coalesce(\"PRCP\", 0) as wet, {FRP_CLASS} as cls"
-            " from weather w join valued on fire_id = zone",
-        )
+        _with(**FIRE_ROWS)
         + """
-        select 'fire_prediction' as measurement,
-          'ZONE_' || cast(zone as varchar) as location_id,
+        select fire_id, 'fire_prediction' as measurement,
+          'ZONE_' || cast(place as varchar) as location_id,
           case when cls = 2 then 'HIGH' when cls = 1 then 'MEDIUM' else 'LOW' end as alert_level,
           cast(coalesce(cls, 0) as bigint) as prediction,
           cast(case when cls = 2 then 3 when cls = 1 then 2 else 1 end as bigint)
@@ -368,13 +376,87 @@ def _fire_points() -> str:
           coalesce("TEMP_max" * "WSPD_ave" / nullif(wet + 1, 0), 0.0::double)
             as fire_weather_index,
           coalesce("TEMP_ave" / nullif(wet + 1, 0), 0.0::double) as dryness_index,
-          c_latitude as latitude, c_longitude as longitude,
+          coalesce(c_latitude, 0) as latitude, coalesce(c_longitude, 0) as longitude,
           timestamp '2024-01-01 00:00:00' as time
         from rows_
         """
     )
 
 
+def _measured_predictions() -> str:
+    return (
+        _with(**_point_parts(), **FIRE_ROWS)
+        + "select location_id, location_name, alert_level, 'prediction' as field,"
+        " count(*) as predictions, measurement from points group by all"
+        " union all select 'ZONE_' || cast(place as varchar), null,"
+        " case when cls = 2 then 'HIGH' when cls = 1 then 'MEDIUM' else 'LOW' end,"
+        " 'prediction', count(*), 'fire_prediction' from rows_ group by all"
+    )
+
+
+PART = (
+    f"case when {{p}} < cast(0.7 as double) then 'train'"
+    f" when {{p}} < cast(0.85 as double) then 'validation' else 'test' end"
+)
+
+
+def _training_rows() -> str:
+    """The fills leave no model feature empty, so every row is usable."""
+    return (
+        _with(
+            readings=view_sql("readings"),
+            placed=f"select flood_occurred, {_position()} as p from readings",
+        )
+        + f"select {PART.format(p='p')} as part, count(*) as rows,"
+        " cast(sum(flood_occurred) as bigint) as floods, count(*) as usable from placed group by 1"
+    )
+
+
+def _report_sections() -> str:
+    names = {
+        "parameter": [
+            "numTrees", "maxDepth", "minInstancesPerNode", "maxBins", "featureSubsetStrategy",
+            "subsamplingRate", "seed",
+        ],
+        "feature": [str(i) for i in range(1, len(MODEL_FEATURES) + 1)],
+        "importance": MODEL_FEATURES,
+    }
+    measured = ["accuracy", "weighted_precision", "weighted_recall", "weighted_f1", "auc"]
+    names |= {"metric:validation": measured, "metric:test": measured}
+    return " union all ".join(
+        f"select '{section}' as section, '{n}' as name" for section, ns in names.items() for n in ns
+    )
+
+
+def _score_all_rows() -> str:
+    cols = {c: FEATURES.get(c, c) for c in MODEL_FEATURES}
+    usable = " and ".join(f"{c} is not null" for c in MODEL_FEATURES)
+    return (
+        _with(readings=view_sql("readings"), x=f"select {_named(cols)} from readings")
+        + f"select count(*) as rows, count(*) filter (where {usable}) as scored,"
+        f" count(*) filter (where not ({usable})) as unscored,"
+        " cast(0 as bigint) as changed_by_reload, cast(0 as bigint) as no_probability from x"
+    )
+
+
+MESSAGE_PART = "cast(cast('0x' || substr(md5(reading_id), 1, 4) as int) % 4 as int)"
+
+
+def _column_listing() -> str:
+    kinds = " ".join(
+        f"when '{duck}' then '{spark}'"
+        for duck, spark in (
+            ("VARCHAR", "string"), ("DOUBLE", "double"), ("INTEGER", "int"),
+            ("BIGINT", "bigint"), ("TIMESTAMP", "timestamp_ntz"),
+        )
+    )
+    order = " ".join(f"when '{c}' then {i}" for i, c in enumerate(READING_ORDER, 1))
+    return (
+        f"select case column_name {order} end as position, column_name as \"column\","
+        f" case column_type {kinds} end as type from (describe {view_sql('readings')})"
+    )
+
+
 def _fire_stream() -> str:
     index = '"TEMP_max" * "WSPD_ave" / nullif(coalesce("PRCP", 0) + 1, 0)'
     return (
@@ -531,6 +613,23 @@ HIGH = (
     " where alert_level in ('CRITICAL', 'HIGH')"
 )
 
+def _alert_map(where: str) -> str:
+    return _with(
+        all_points=view_sql("points_long"),
+        long=f"select * from all_points where {where}",
+        **{
+            f: f"select location_id, arg_max(value, time) as v from long where field = '{f}'"
+            " group by location_id"
+            for f in ("latitude", "longitude", "alert_level_num")
+        },
+    ) + (
+        "select latitude.location_id, latitude.v as latitude, longitude.v as longitude,"
+        " alert_level_num.v as alert_level_num from latitude"
+        " join longitude on latitude.location_id = longitude.location_id"
+        " join alert_level_num on latitude.location_id = alert_level_num.location_id"
+    )
+
+
 ORACLE: dict[str, str] = {
     "flood_pipeline": _flood_pipeline(),
     "null_profile": _null_profile(),
@@ -617,48 +716,43 @@ ORACLE: dict[str, str] = {
     "fire_points": _fire_points(),
     "points_long": _points_long(),
     "points_dedup": _points_dedup(),
-    "alert_map": _with(
-        all_points=view_sql("points_long"),
-        long=f"select * from all_points where {MAP_RANGE}",
-        **{
-            f: f"select location_id, arg_max(value, time) as v from long where field = '{f}'"
-            " group by location_id"
-            for f in ("latitude", "longitude", "alert_level_num")
-        },
-    )
-    + "select latitude.location_id, latitude.v as latitude, longitude.v as longitude,"
-    " alert_level_num.v as alert_level_num from latitude"
-    " join longitude on latitude.location_id = longitude.location_id"
-    " join alert_level_num on latitude.location_id = alert_level_num.location_id",
-    "latest_values": _from_month(
+    "measured_predictions": _measured_predictions(),
+    "stored_points": _from_long(
+        "select * from long where time >= timestamp '2024-01-05 00:00:00'"
+        " and time < timestamp '2024-01-07 00:00:00'"
+    ),
+    "alert_map": _alert_map("true"),
+    "alert_map_range": _alert_map(TIME_RANGE),
+    "time_range": _from_long(f"select * from long where {TIME_RANGE}"),
+    "latest_values": _from_long(
         "select location_id, field, arg_max(value, time) as value, max(time) as time"
         " from long group by location_id, field"
     ),
-    "field_points": _from_month("select * from long where field = 'probability'"),
-    "prediction_count": _from_month(
+    "field_points": _from_long("select * from long where field = 'probability'"),
+    "prediction_count": _from_long(
         f"select {SERIES}, count(value) as predictions from long where field = 'prediction'"
         f" group by {SERIES}"
     ),
-    "prediction_total": _from_month(
+    "prediction_total": _from_long(
         "select count(value) as predictions from long where field = 'prediction'"
     ),
-    "mean_probability": _from_month(
+    "mean_probability": _from_long(
         f"select {SERIES}, round(avg(value), 10) as mean_probability from long"
         f" where field = 'probability' group by {SERIES}"
     ),
-    "extreme_series": _from_month(
+    "extreme_series": _from_long(
         "select count(*) as extreme_series from ends where value = 1",
         ends=_last("extreme_event"),
     ),
-    "level_distribution": _from_month(
+    "level_distribution": _from_long(
         "select alert_level, count(*) as series from ends group by alert_level",
         ends=_last("alert_level_num"),
     ),
-    "windowed_mean": _from_month(
+    "windowed_mean": _from_long(
         "select location_id, location_name, time, round(mean_value, 10) as mean_value from w",
         w=WINDOWS,
     ),
-    "series_legend": _from_month(
+    "series_legend": _from_long(
         "select location_id, location_name, round(avg(mean_value), 10) as mean,"
         " round(max(mean_value), 10) as max, round(arg_max(mean_value, time), 10) as last"
         " from w group by location_id, location_name",
@@ -701,6 +795,21 @@ ORACLE: dict[str, str] = {
     "confusion_matrix": _from_scored(CONFUSION),
     "classification_metrics": _metrics(),
     "auc": _auc(),
+    "sample_check": "select cast(10 as bigint) as rows, cast(0 as bigint) as strangers",
+    "column_listing": _column_listing(),
+    "training_rows": _training_rows(),
+    "report_sections": _report_sections(),
+    "score_all_rows": _score_all_rows(),
+    "fire_training_rows": _with(fires=view_sql("fires"))
+    + f"select {FRP_CLASS} as frp_class, count(*) as fires"
+    f" from (select cast(frp as double) as v from fires where {NUMERIC_TEXT}) group by 1",
+    "importance_total": " union all ".join(
+        f"select '{f}' as feature, 1.0::double as total" for f in MODEL_FEATURES
+    ),
+    "csv_by_name": _ml_dataset(),
+    "csv_unparsed": _with(t=view_sql("dirty_frp"))
+    + "select 'fire_id' as \"column\", cast(0 as bigint) as unparsed union all select 'frp',"
+    " count(*) filter (where frp is not null and try_cast(frp as double) is null) from t",
     "layer_round_trip": _with(readings=view_sql("readings")) + "select * from readings",
     "gold_csv": _ml_dataset(),
     "multiline_csv": "select doc_id, cast(length(text) as int) as n, md5(text) as digest"
@@ -710,6 +819,14 @@ ORACLE: dict[str, str] = {
         **_scored(), **ENRICHED, points=_points('reading_id as "timestamp"')
     )
     + "select * exclude (time) from points",
+    "points_identity_stream": _with(**_scored(), **ENRICHED)
+    + "select distinct location_id, alert_level, location_name, cast(1 as bigint) as points,"
+    " cast(1 as bigint) as stamps from enriched",
+    "rate_limited_stream": _with(readings=view_sql("readings"))
+    + f"select {MESSAGE_PART} as part, count(*) as rows, cast(1 as bigint) as batches,"
+    " cast(1 as bigint) as stamps from readings group by 1",
+    "restarted_stream": _with(readings=view_sql("readings"))
+    + f"select reading_id, {MESSAGE_PART} as part from readings",
     "alerts_stream": _from_scored(HIGH),
     "score_fire_stream": _fire_stream(),
     "windowed_mean_stream": _with(
@@ -719,6 +836,5 @@ ORACLE: dict[str, str] = {
         " time_bucket(interval '1 day', time) + interval '1 day' as time,"
         " avg(value) as m from p group by 1, 2, 3",
     )
-    + "select location_id, location_name, time, round(m, 10) as mean_value from w"
-    " where time <= (select max(time) from p) - interval '1 hour'",
+    + "select location_id, location_name, time, round(m, 10) as mean_value from w",
 }

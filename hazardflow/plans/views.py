@@ -112,11 +112,13 @@ from (
 ) e
 """
 
-# Long points: one field per event type, one location per user, level tag from the payload.
+# Long points of one measurement: one field per event type, one location per user, level tag
+# from the payload.
 POINTS_LONG = """
 select
-  concat('LOC_', lpad(cast(user_id as varchar(20)), 6, '0')) as location_id,
-  concat('Site ', cast(user_id as varchar(20))) as location_name,
+  'flood_prediction' as measurement,
+  concat('LOC_', lpad(user_no, cast(greatest(6, length(user_no)) as int), '0')) as location_id,
+  concat('Site ', user_no) as location_name,
   case when k < 25 then 'LOW' when k < 50 then 'MODERATE' when k < 75 then 'HIGH'
     else 'CRITICAL' end as alert_level,
   case event_id % 6
@@ -130,7 +132,7 @@ select
     else value end as value,
   ts as time
 from (
-  select event_id, user_id, ts, value,
+  select event_id, cast(user_id as varchar(20)) as user_no, ts, value,
     cast(regexp_extract(props, '[0-9]+', 0) as int) as k
   from {events}
 ) e
@@ -138,11 +140,20 @@ from (
 
 # Location dimension: a place for every second location number.
 LOCATIONS = """
-select concat('LOC_', lpad(cast(s_suppkey * 2 + 1 as varchar(20)), 3, '0')) as location_id,
+select concat('LOC_', lpad(site, cast(greatest(3, length(site)) as int), '0')) as location_id,
   cast(n_nationkey as double) + 20 as lat,
   cast(s_suppkey % 90 as double) - 45 as lon,
   concat(n_name, ' ', s_name) as name
-from {supplier} join {nation} on s_nationkey = n_nationkey
+from (
+  select cast(s_suppkey * 2 + 1 as varchar(20)) as site, s_suppkey, s_name, s_nationkey
+  from {supplier}
+) s join {nation} on s_nationkey = n_nationkey
+"""
+
+# Fires: every order's radiative power, each in one of the zones.
+FIRES = f"""
+select fire_id, frp, fire_id % (select count(*) from {{part}}) + 1 as zone
+from ({DIRTY_FRP}) dirty
 """
 
 VIEWS = {
@@ -153,6 +164,7 @@ VIEWS = {
     "sparse_labels": (SPARSE_LABELS, ["documents", "labels"]),
     "payloads": (PAYLOADS, ["events"]),
     "points_long": (POINTS_LONG, ["events"]),
+    "fires": (FIRES, ["orders", "part"]),
     "locations": (LOCATIONS, ["supplier", "nation"]),
 }
 

@@ -62,6 +62,7 @@ FIRE_WEATHER = [
 ]
 FIRE_MEAN_FILL = ["WDIR_ave", "WCOMP", "TEMP_ave", "TEMP_min", "TEMP_max", "WSPD_ave", "PRES_ave"]
 FIRE_ZERO_FILL = ["PRCP", "SNOW"]
+# Columns that the fire job drops, its target, and what is no feature.
 FIRE_DROPPED = [
     "Neighbour_c_longitude",
     "acq_date",
@@ -73,6 +74,7 @@ FIRE_DROPPED = [
 ]
 FIRE_TARGET = "frp_class"
 FIRE_NOT_FEATURES = ["frp", "frp_class", "Neighbour_frp"]
+# Names a target column may have, best first.
 TARGET_CANDIDATES = ["Fire Occurred", "fire_occurred", "target", "label", "Fire", "frp"]
 
 
@@ -194,7 +196,8 @@ def points_long_schema() -> T.StructType:
     return T.StructType(
         [
             *_struct(
-                string=["location_id", "location_name", "alert_level", "field"], double=["value"]
+                string=["measurement", "location_id", "location_name", "alert_level", "field"],
+                double=["value"],
             ),
             T.StructField("time", T.TimestampNTZType()),
         ]

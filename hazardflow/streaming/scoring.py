@@ -13,9 +13,16 @@ from hazardflow.functions.alerts import fire_alert, flood_alert, high_alerts, pr
 from hazardflow.functions.fire import fire_features
 from hazardflow.functions.flood import flood_features
 from hazardflow.operators.columns import align_features, computed_once
-from hazardflow.operators.forest import Fitted
-from hazardflow.operators.joins import enrich_location
-from hazardflow.operators.points import FIRE_POINTS, FLOOD_POINTS, to_points
+from hazardflow.operators.forest import Fitted, score_all
+from hazardflow.operators.joins import enrich_location, location_lookup
+from hazardflow.operators.points import (
+    FIRE_POINTS,
+    FLOOD_POINTS,
+    dedup_points,
+    identity,
+    to_points,
+    write_points,
+)
 from hazardflow.sources.messages import decode
 from hazardflow.sources.schemas import FIRE_ZERO_FILL, fire_message_schema, flood_message_schema
 
@@ -23,20 +30,32 @@ Scorer = Callable[[DataFrame], DataFrame]
 
 
 def model_scorer(model: Transformer | Fitted, two_class: bool = True) -> Scorer:
-    """Scorer of a fitted model; fails at start when its features are not all present."""
+    """Scorer of a fitted model; fails at start when its features are not all present.
+
+    A row with a missing feature stays, with null results and `scored` false: a broken sensor
+    must not vanish from the points. Other transformers decide that themselves.
+    """
 
     def run(df: DataFrame) -> DataFrame:
         if isinstance(model, Fitted):
             align_features(df, model.features)
-            df = model.model.transform(df)
+            df = score_all(df, model)
         else:
-            df = model.transform(df)
-        df = df.withColumn("prob_flood", prob_of()) if two_class else df
+            df = model.transform(df).withColumn("scored", F.col("prediction").isNotNull())
+        if two_class:
+            df = df.withColumn("prob_flood", F.when(F.col("scored"), prob_of()))
         return computed_once(df)
 
     return run
 
 
+def unscored(df: DataFrame) -> DataFrame:
+    """(rows, unscored): how many rows a model could not score."""
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("scored")).alias("unscored")
+    )
+
+
 def score_flood_stream(
     messages: DataFrame, scorer: Scorer, fills: dict[str, object] | None = None
 ) -> DataFrame:
@@ -63,21 +82,31 @@ def batch_path(root: str, batch_id: int) -> str:
     return f"{root}/batch_id={batch_id}"
 
 
-def parquet_sink(points_root: str, alerts_root: str | None, shape: Scorer) -> Callable:
-    """Write each micro-batch whole, under its own id: a retried batch replaces itself.
+def parquet_sink(
+    points_root: str, alerts_root: str | None, shape: Scorer, keys: list[str] | None = None
+) -> Callable:
+    """Write each micro-batch whole; a retried batch replaces itself.
 
-    `shape` turns scored rows into points. Alerts (the urgent rows) are a second table. Errors
-    propagate, so a batch that could not be written is not committed.
+    `shape` turns scored rows into points, of which one per identity `keys` is stored (the last by
+    all other columns), by date and measurement. Alerts (the urgent rows) are a second table. The
+    batch is computed once. Errors propagate, so a batch that could not be written is not
+    committed.
     """
 
+    def points_of(batch: DataFrame) -> DataFrame:
+        points = shape(batch)
+        if keys is None:
+            return points
+        return dedup_points(points, keys, [c for c in points.columns if c not in keys])
+
     def write(batch: DataFrame, batch_id: int) -> None:
         if alerts_root is None:
-            shape(batch).write.mode("overwrite").parquet(batch_path(points_root, batch_id))
+            write_points(points_of(batch), points_root, batch_id)
             return
         # Scoring runs once for both tables.
         batch = batch.persist()
         try:
-            shape(batch).write.mode("overwrite").parquet(batch_path(points_root, batch_id))
+            write_points(points_of(batch), points_root, batch_id)
             high_alerts(batch).write.mode("overwrite").parquet(batch_path(alerts_root, batch_id))
         finally:
             batch.unpersist()
@@ -85,14 +114,26 @@ def parquet_sink(points_root: str, alerts_root: str | None, shape: Scorer) -> Ca
     return write
 
 
-def flood_points_shape(dim: DataFrame) -> Scorer:
-    return lambda scored: to_points(enrich_location(scored, dim), FLOOD_POINTS)
+def flood_points_shape(dim: DataFrame, keep: list[str] | None = None) -> Scorer:
+    """Points of scored flood rows; the dimension is checked once, not per batch."""
+    ready = location_lookup(dim)
+    return lambda scored: to_points(enrich_location(scored, ready), FLOOD_POINTS, keep)
 
 
 def fire_points_shape() -> Scorer:
     return lambda scored: to_points(scored, FIRE_POINTS)
 
 
+def flood_sink(points_root: str, alerts_root: str | None, dim: DataFrame) -> Callable:
+    """Sink of the flood job: points under their identity, alerts beside."""
+    return parquet_sink(points_root, alerts_root, flood_points_shape(dim), identity(FLOOD_POINTS))
+
+
+def fire_sink(points_root: str) -> Callable:
+    """Sink of the fire job: points under their identity."""
+    return parquet_sink(points_root, None, fire_points_shape(), identity(FIRE_POINTS))
+
+
 def run_scoring(
     scored: DataFrame,
     sink: Callable[[DataFrame, int], None],

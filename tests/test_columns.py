@@ -78,6 +78,37 @@ def test_csv_with_declared_schema(spark, tmp_path):
     assert set(empty) == {None}
 
 
+def test_csv_binds_by_name(spark, tmp_path):
+    schema = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b.c (x)", T.DoubleType())])
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "1.csv").write_text("B.C (X) , A\n1.5,2\nx,3\n,oops\n")
+    path = str(folder)
+    assert sorted(map(tuple, files.read_csv(spark, path, schema).collect()), key=str) == [(2, 1.5), (3, None), (None, None)]
+    counts = files.unparsed(files.read_csv_text(spark, path, schema), schema)
+    assert sorted(map(tuple, counts.collect())) == [("a", 1), ("b.c (x)", 1)]
+    assert files.read_csv(spark, path, schema).select("a").count() == 3
+
+
+@pytest.mark.parametrize("header, fault", [("a", "missing: b"), ("a,b,c", "unknown: c"), ("a,b,A", "doubled: a")])
+def test_csv_with_a_wrong_header_raises(spark, tmp_path, header, fault):
+    path = tmp_path / "x.csv"
+    path.write_text(f"{header}\n1,2,3\n")
+    schema = T.StructType([T.StructField(n, T.IntegerType()) for n in "ab"])
+    with pytest.raises(ValueError, match=fault):
+        files.read_csv(spark, str(path), schema)
+
+
+def test_csv_files_with_other_headers_raise(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "1.csv").write_text("a,b\n1,2\n")
+    (folder / "2.csv").write_text("b,a\n1,2\n")
+    schema = T.StructType([T.StructField(n, T.IntegerType()) for n in "ab"])
+    with pytest.raises(Exception, match="header"):
+        files.read_csv(spark, str(folder), schema).collect()
+
+
 def test_multiline_csv(spark, tmp_path):
     path = tmp_path / "fires.csv"
     path.write_text('id,note\n1,"two\nlines, ""quoted"""\n2,plain\n')
@@ -103,8 +134,25 @@ def test_write_verified_raises_on_loss(spark, tmp_path, monkeypatch):
         spark.range(1).write.mode("overwrite").parquet(path)
 
     monkeypatch.setattr(files, "write_layer", lossy)
+    path = str(tmp_path / "layer")
+    original(spark.range(4), path)
     with pytest.raises(RuntimeError, match="wrote 10 rows, read back 1"):
-        files.write_verified(spark.range(10), str(tmp_path / "layer"))
+        files.write_verified(spark.range(10), path)
+    assert spark.read.parquet(path).count() == 4
+
+
+def test_write_verified_computes_its_input_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for r in rows:
+            seen.add(1)
+            yield r
+
+    df = spark.range(50).rdd.mapPartitions(count).toDF(["id"])
+    seen.value = 0
+    files.write_verified(df, str(tmp_path / "layer"))
+    assert seen.value == 50
 
 
 def test_export_csv(spark, tmp_path):

@@ -3,6 +3,7 @@
 import math
 import random
 import statistics
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,12 +45,22 @@ def test_exact_quantiles_without_values(spark):
     assert order.exact_quantiles(df, []) == {}
 
 
-def test_bucket_of_counts_smaller_bounds(spark):
-    bounds = [float(b) for b in range(0, 100, 3)]
-    df = spark.range(-5, 110).select(F.col("id").cast("double").alias("x"))
-    arrays = [F.array(*[F.lit(b) for b in bs]) for bs in (bounds, order.every(bounds))]
-    for row in df.select("x", order.bucket_of(F.col("x"), *arrays).alias("b")).collect():
-        assert row.b == sum(b < row.x for b in bounds)
+def test_quantiles_keep_their_type(spark):
+    big = 2**53 + 1
+    rows = [(big, Decimal(f"{big}.25"))] * 5 + [(big - 1, Decimal("0.01"))] * 4 + [(big + 1, Decimal("9e20"))] * 4 + [(None, None)]
+    df = spark.createDataFrame(rows, "a long, b decimal(38,2)").repartition(3)
+    for finish in (0, 3, 100):
+        got = order.exact_quantiles(df, ["a", "b"], finish_rows=finish)
+        assert got == {"a": big, "b": Decimal(f"{big}.25")}
+    assert order.exact_quantiles(df.dropna(), ["a"], skip_whole=True) == {"a": None}
+
+
+def test_ranges_grow_with_the_rows(spark):
+    df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").cast("double").alias("v"))
+    cut = order.ranged(df, ["k", "v"], 1000, 100)
+    assert cut.count() == 1000 and cut.select("bucket").distinct().count() >= 8
+    summed = order.before_sums(cut.withColumn("n", F.lit(1)), ["k"], "v", ["n"])
+    assert summed.where("before_n != floor(v / 7)").count() == 0
 
 
 def zone_rows(hot=4000, cold=30):
@@ -75,19 +86,11 @@ def same(x, y):
     return x == y if x is None or y is None else math.isclose(x, y, rel_tol=1e-12)
 
 
-@pytest.mark.parametrize(
-    "limits",
-    [
-        {},
-        {"group_rows": 100, "hot_rows": 10**9},
-        {"group_rows": 100, "hot_rows": 1000},
-        {"group_rows": 1, "hot_rows": 2},
-    ],
-)
-def test_zonal_stats_on_every_path(spark, limits):
+@pytest.mark.parametrize("size", [10, 300, 10**6])
+def test_zonal_stats(spark, size):
     data = zone_rows()
     df = spark.createDataFrame(data, "zone int, a double, b double").repartition(5)
-    got = zonal.zonal_stats(df, "zone", {"A": "a", "B": "b"}, **limits).collect()
+    got = zonal.zonal_stats(df, "zone", {"A": "a", "B": "b"}, rows_per_range=size).collect()
     assert len(got) == len({row[0] for row in data})
     for row in got:
         for i, v in ((1, "A"), (2, "B")):
@@ -102,6 +105,21 @@ def test_zonal_totals_use_one_shuffle(spark):
     assert plan.executedPlan().toString().count("Exchange") == 1
 
 
+def test_the_number_of_ranges_changes_no_bit(spark, rows):
+    r = random.Random(5)
+    data = [(r.randrange(3), r.random()) for _ in range(3000)] + [(7, -0.0), (7, 0.0), (7, -0.0)]
+    df = spark.createDataFrame(data, "zone int, a double").repartition(6).cache()
+    one, many = (rows(zonal.zonal_stats(df, "zone", ["a"], rows_per_range=n)) for n in (10**6, 50))
+    assert one == many
+    assert str(one[-1][1:6]) == str((0.0, 0.0, 0.0, 0.0, 0.0))
+
+
+def test_several_neighbours_give_one_whole_row(spark, rows):
+    df = spark.createDataFrame([(3, 30.0, 1.0, 1), (2, 5.0, 100.0, 1), (1, 0.0, 0.0, 0)], "z int, a double, b double, n int")
+    got = zonal.with_neighbours(df, "z", ["a", "b"], F.col("n")).where("z = 1")
+    assert rows(got, "Neighbour_a", "Neighbour_b") == [(5.0, 100.0)]
+
+
 def test_neighbours_without_a_join(spark, rows):
     df = spark.createDataFrame([(1, 1.0, "a"), (2, 2.0, "b"), (4, 4.0, None)], "z int, x double, t string")
     got = zonal.with_neighbours(df, "z", ["x"], F.col("z") - 1)
@@ -112,9 +130,8 @@ def test_neighbours_without_a_join(spark, rows):
 def test_statistics_per_variable(spark):
     df = spark.createDataFrame(zone_rows(10), "zone int, a double, b double")
     wanted = {"A": ["max"], "B": ["median", "count"]}
-    for limits in ({}, {"group_rows": 1}):
-        got = zonal.zonal_stats(df, "zone", {"A": "a", "B": "b"}, wanted, **limits)
-        assert got.columns == ["zone", "A_max", "B_median", "B_count"]
+    got = zonal.zonal_stats(df, "zone", {"A": "a", "B": "b"}, wanted)
+    assert got.columns == ["zone", "A_max", "B_median", "B_count"]
 
 
 def pair_auc(data):
@@ -124,13 +141,14 @@ def pair_auc(data):
     return wins / (len(pos) * len(neg))
 
 
+@pytest.mark.parametrize("size", [50, 10**6])
 @pytest.mark.parametrize("digits", [1, 6])
-def test_auc_equals_pair_counting(spark, digits):
+def test_auc_equals_pair_counting(spark, digits, size):
     r = random.Random(9)
     data = [(round(r.random(), digits), int(r.random() < 0.3)) for _ in range(600)]
     data += [(None, 1), (None, 0)]
     df = spark.createDataFrame(data, "s double, y int").repartition(6)
-    assert auc(df, "s", "y").first()[0] == pytest.approx(pair_auc(data), abs=1e-12)
+    assert auc(df, "s", "y", size).first()[0] == pytest.approx(pair_auc(data), abs=1e-12)
 
 
 def test_auc_of_one_class_is_null(spark):

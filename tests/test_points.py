@@ -37,8 +37,8 @@ def long(spark):
         ("L2", "LOW", "prediction", 30, 0.0),
     ]
     return spark.createDataFrame(
-        [(loc, f"Site {loc}", lvl, f, v, at(m)) for loc, lvl, f, m, v in data],
-        "location_id string, location_name string, alert_level string, field string,"
+        [("flood_prediction", loc, f"Site {loc}", lvl, f, v, at(m)) for loc, lvl, f, m, v in data],
+        "measurement string, location_id string, location_name string, alert_level string, field string,"
         " value double, time timestamp_ntz",
     )
 
@@ -55,7 +55,7 @@ def test_alert_map_needs_every_field(long, rows):
 def test_alert_map_takes_the_newest_value(spark, long, rows):
     moved = long.unionByName(
         spark.createDataFrame(
-            [("L1", "Site L1", "LOW", "latitude", 1.0, at(55))], long.schema
+            [("flood_prediction", "L1", "Site L1", "LOW", "latitude", 1.0, at(55))], long.schema
         )
     )
     assert rows(P.alert_map(moved)) == [("L1", 1.0, -7.0, 3.0)]
@@ -147,12 +147,56 @@ def test_dimension_beyond_the_bound_is_salted(spark, rows):
     fact = spark.range(2000).select(
         F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id"
     )
-    dims = spark.createDataFrame([("hot", 1), ("3", 2), ("9", 3)], "k string, v int")
-    small = joins.lookup_join(fact, dims, "k")
-    large = joins.lookup_join(fact, dims, "k", max_broadcast_rows=2, salts=8)
+    dims = spark.createDataFrame([("hot", 1), ("3", 2), ("9", 3), (None, 4)], "k string, v int")
+    small = joins.lookup(dims, "k").join(fact)
+    large = joins.lookup(dims, "k", most_bytes=10, salts=8).join(fact)
     assert rows(small, "id", "v") == rows(large, "id", "v")
     assert "_salt" in large._jdf.queryExecution().optimizedPlan().toString()
     assert large.columns == small.columns
+    same = spark.range(800).select(F.lit("hot").alias("k"))
+    salted = joins.lookup(dims, "k", most_bytes=10, salts=8)
+    assert salted.join(same).count() == 800
+
+
+def test_a_doubled_key_multiplies_no_row(spark, rows):
+    fact = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "k string, id int")
+    dims = spark.createDataFrame([("a", 9, "y"), ("a", 5, "z"), ("a", 5, None)], "k string, v int, t string")
+    for most in (10**6, 1):
+        got = joins.lookup(dims, "k", most_bytes=most).join(fact)
+        assert rows(got, "id", "v", "t") == [(1, 5, None), (2, None, None), (3, None, None)]
+
+
+def test_broadcast_is_bound_in_bytes(spark):
+    wide = spark.range(10).select("id", F.lit("x" * 1000).alias("t"))
+    assert joins.fits_broadcast(wide, 20_000) and not joins.fits_broadcast(wide, 9_000)
+
+
+def test_measurements_do_not_mix(spark, long):
+    other = long.withColumn("measurement", F.lit("fire_prediction"))
+    both = long.unionByName(other)
+    assert P.prediction_count(both, by_series=False).first()[0] == 6
+    assert P.prediction_count(both, by_series=False, measurement="fire_prediction").first()[0] == 3
+    shown, alone = (dashboard.panels(df, at(60), "30 minutes") for df in (both, long))
+    for name in alone:
+        assert sorted(map(tuple, shown[name].collect()), key=str) == sorted(map(tuple, alone[name].collect()), key=str)
+
+
+def test_stored_points_prune_days_and_measurements(spark, tmp_path):
+    wide = spark.range(96).select(
+        F.lit("flood_prediction").alias("measurement"), "id",
+        (F.lit(HOUR) + F.make_dt_interval(hours=F.col("id"))).cast("timestamp_ntz").alias("time"),
+    )
+    wide = wide.withColumn("id", F.col("id").cast("int"))
+    root = str(tmp_path / "points")
+    P.write_points(wide, root, 1)
+    P.write_points(wide.limit(0), root, 2)
+    P.write_points(wide, root, 1)
+    assert spark.read.parquet(root).count() == 96
+    day = P.read_points(spark, root, at(24 * 60), at(48 * 60), "flood_prediction")
+    assert sorted(r["id"] for r in day.collect()) == list(range(24, 48))
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :].split("]")[0]
+    assert "date" in filters and "measurement" in filters
 
 
 def test_dedup_keeps_the_last_point(spark, rows):

@@ -4,6 +4,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from hazardflow.operators import quality as Q
 
@@ -121,3 +122,22 @@ def test_describe(spark):
     row = Q.describe(df).collect()
     assert [tuple(r) for r in row] == [("a", 3, 2.0, 1.0, 1.0, 3.0)]
     assert not math.isnan(row[0]["stddev"])
+
+
+def test_describe_covers_every_numeric_column(spark):
+    df = spark.range(3).select(*[F.col("id").alias(f"c{i}") for i in range(14)])
+    assert Q.describe(df).count() == 14
+
+
+def test_fills_work_on_dotted_names_and_large_numbers(spark):
+    big = 2**53 + 1
+    df = spark.createDataFrame([(big, 1.0), (big, None), (None, 3.0)], "`a.b` long, `x y.z` double")
+    got = Q.impute(df, {"a.b": "median", "x y.z": "mean"})
+    assert got.columns == df.columns
+    assert sorted(map(tuple, got.collect())) == [(big, 1.0), (big, 2.0), (big, 3.0)]
+    filled = Q.impute(df, {"a.b": "mode", "x y.z": 7}).collect()
+    assert sorted(map(tuple, filled)) == [(big, 1.0), (big, 3.0), (big, 7.0)]
+
+
+def test_drop_invalid_without_features(spark):
+    assert Q.drop_invalid(spark.range(3), []).count() == 3

@@ -88,9 +88,8 @@ def dim(spark):
 
 def flood_run(spark, inbox, every=None, limit=None):
     rows = scoring.score_flood_stream(inbox.stream(limit), risk_scorer)
-    sink = scoring.parquet_sink(
-        f"{inbox.root}/points", f"{inbox.root}/alerts", scoring.flood_points_shape(dim(spark))
-    )
+    shape = scoring.flood_points_shape(dim(spark), keep=["timestamp"])
+    sink = scoring.parquet_sink(f"{inbox.root}/points", f"{inbox.root}/alerts", shape)
     query = scoring.run_scoring(rows, sink, f"{inbox.root}/checkpoint", every)
     query.awaitTermination()
     return query
@@ -101,8 +100,8 @@ def test_stream_equals_batch_across_a_restart(spark, inbox, rows):
     flood_run(spark, inbox)
     inbox("b.json", [message(i) for i in range(40, 90)] + ["broken"])
     flood_run(spark, inbox)
-    got = spark.read.parquet(f"{inbox.root}/points").drop("time", "batch_id")
-    want = scoring.flood_points_shape(dim(spark))(
+    got = spark.read.parquet(f"{inbox.root}/points").drop("time", "batch_id", "date")
+    want = scoring.flood_points_shape(dim(spark), keep=["timestamp"])(
         scoring.score_flood_stream(inbox.batch(), risk_scorer)
     ).drop("time")
     assert got.count() == 91
@@ -127,9 +126,22 @@ def test_processing_time_is_constant_within_a_batch(spark, inbox):
 
 def test_retried_batch_replaces_itself(spark, inbox):
     sink = scoring.parquet_sink(f"{inbox.root}/p", None, lambda df: df)
-    for size in (5, 3):
-        sink(spark.range(size), 7)
-    assert spark.read.parquet(f"{inbox.root}/p").count() == 3
+    for size, batch in ((5, 7), (3, 7), (2, 8)):
+        points = spark.range(5).selectExpr(
+            "id", "'m' as measurement", "timestamp_ntz'2024-01-01 00:00:00' as time"
+        )
+        sink(points.where(f"id < {size}"), batch)
+    assert spark.read.parquet(f"{inbox.root}/p").count() == 5
+
+
+def test_the_job_stores_one_point_per_identity(spark, inbox):
+    inbox("a.json", [message(i) for i in range(40)])
+    rows = scoring.score_flood_stream(inbox.stream(), risk_scorer)
+    sink = scoring.flood_sink(f"{inbox.root}/points", None, dim(spark))
+    scoring.run_scoring(rows, sink, f"{inbox.root}/checkpoint", None).awaitTermination()
+    points = spark.read.parquet(f"{inbox.root}/points")
+    keys = P.identity(P.FLOOD_POINTS)
+    assert points.count() == points.select(*keys).distinct().count() < 40
 
 
 def test_failing_sink_fails_the_query_and_commits_nothing(spark, inbox):
@@ -219,29 +231,70 @@ def test_filtered_alerts_run_the_model_once(spark, inbox):
     assert plan.index("Filter") < plan.index("Generate")
 
 
-def test_windowed_mean_stream_emits_closed_windows(spark, tmp_path):
+def test_rows_with_a_missing_feature_stay(spark, inbox):
+    inbox("a.json", [fire_message(i) for i in range(20)])
+    train = scoring.score_fire_stream(inbox.batch(), fire_risk_scorer)
+    fitted = train_forest(
+        train.select("TEMP_max", F.col("prediction").alias("y")), ["TEMP_max"], "y", {"numTrees": 2}
+    )
+    broken = [json.dumps({k: v for k, v in json.loads(fire_message(i)).items() if k != "TEMP_max"}) for i in range(5)]
+    inbox("b.json", broken)
+    rows = scoring.score_fire_stream(inbox.batch(), scoring.model_scorer(fitted, two_class=False))
+    assert tuple(scoring.unscored(rows).first()) == (25, 5)
+    assert rows.where("prediction is null and not scored").count() == 5
+    assert scoring.fire_points_shape()(rows).count() == 25
+
+
+def test_windowed_mean_stream_gives_every_window(spark, tmp_path):
     schema = schemas.points_long_schema()
     data = [
-        (f"L{i % 2}", "S", "LOW", "probability", i / 100, f"2024-01-01 {i // 60:02d}:{i % 60:02d}:00")
+        ("m", f"L{i % 2}", "S", "LOW", "probability", i / 100, f"2024-01-01 {i // 60:02d}:{i % 60:02d}:00")
         for i in range(200)
     ]
     df = spark.createDataFrame(
         data,
-        "location_id string, location_name string, alert_level string, field string,"
-        " value double, t string",
+        "measurement string, location_id string, location_name string, alert_level string,"
+        " field string, value double, t string",
     ).withColumn("time", F.col("t").cast("timestamp_ntz"))
-    df.drop("t").repartition(3).write.parquet(str(tmp_path / "in"))
+    df.drop("t").repartitionByRange(4, "time").write.parquet(str(tmp_path / "in"))
     stream = messages.message_stream(
-        spark, "parquet", {"path": str(tmp_path / "in")}, schema=schema
+        spark, "parquet", {"path": str(tmp_path / "in")}, 1, schema=schema
     )
-    means = landing.windowed_mean_stream(stream, "1 hour", "5 minutes")
-    landing.append_parquet(means, str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination()
+    # Files come in any order here, so nothing may count as late.
+    means = landing.windowed_mean_stream(stream, "1 hour", "1 day")
+    landing.upsert_parquet(means, str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination()
 
     def table(frame):
         return {(r.location_id, r.time): round(r.mean_value, 9) for r in frame.collect()}
 
-    batch = P.windowed_mean(df, "1 hour")
+    done = landing.newest(
+        spark.read.parquet(str(tmp_path / "o")), ["location_id", "location_name", "time"]
+    )
     # 200 minutes: three hours are closed, the fourth is still open.
-    closed = batch.where("time <= timestamp_ntz '2024-01-01 03:00:00'")
-    assert table(spark.read.parquet(str(tmp_path / "o"))) == table(closed)
-    assert len(table(closed)) == 6
+    assert table(done) == table(P.windowed_mean(df, "1 hour"))
+    assert done.count() == 8
+
+
+def test_kafka_options(spark, monkeypatch):
+    seen = {}
+
+    class Reader:
+        def format(self, name):
+            seen["format"] = name
+            return self
+
+        def options(self, **given):
+            seen.update(given)
+            return self
+
+        def load(self):
+            return self
+
+    class Session:
+        readStream = Reader()
+
+    messages.message_stream(Session(), options={"subscribe": "t", "startingOffsets": "earliest"}, rate_limit=10)
+    assert seen == {
+        "format": "kafka", "subscribe": "t", "startingOffsets": "earliest",
+        "failOnDataLoss": "false", "maxOffsetsPerTrigger": "10",
+    }
