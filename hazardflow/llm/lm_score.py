@@ -71,8 +71,8 @@ class Lattice:
         share = [0.0] * len(alpha)
         share[-1] = count
         ids, exp = self.vocabulary.ids, math.exp
-        edges.sort(key=lambda e: -e[1])
-        for i, j, s in edges:
+        # backwards by start: whatever starts at a position is done before what ends there
+        for i, j, s in reversed(edges):
             if share[j] > 0.0:
                 part = share[j] * exp(alpha[i] + s - alpha[j])
                 share[i] += part
