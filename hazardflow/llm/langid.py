@@ -75,8 +75,9 @@ class Network:
 
 
 def train(rows: np.ndarray, labels: np.ndarray, languages: list[str], epochs: int = 12, step: int = 64,
-          rate: float = 0.004, seed: int = 5) -> Network:
-    """Fit by Adam on cross entropy; the gradient of a pooled filter goes to its best place only."""
+          rate: float = 0.004, seed: int = 5, least: int = 600) -> Network:
+    """Fit by Adam on cross entropy; the gradient of a pooled filter goes to its best place only. A
+    small sample is gone through more often, until `least` steps are made."""
     rng = np.random.default_rng(seed)
     total = FILTERS * len(WIDTHS)
     net = Network(
@@ -88,7 +89,7 @@ def train(rows: np.ndarray, labels: np.ndarray, languages: list[str], epochs: in
     )
     params = [net.embed, *net.filters, net.weights, net.bias]
     first, second, t = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
-    for _ in range(epochs):
+    for _ in range(max(epochs, -(-least * step // len(rows)) if epochs > 1 else 1)):
         order = rng.permutation(len(rows))
         for i in range(0, len(order), step):
             take = order[i : i + step]
