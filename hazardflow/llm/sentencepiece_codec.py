@@ -16,7 +16,7 @@ from hazardflow.llm.common import stored
 from hazardflow.llm.vocabulary import MODEL, Vocabulary, load_vocabulary
 
 _SCALE = 1_000_000  # scores are whole millionths, so that sums don't depend on their order
-_CACHE = 100_000
+_CACHE = 150_000
 _NONE = -(1 << 60)  # no path
 
 
@@ -36,27 +36,36 @@ class Lattice:
         self.span: dict[str, int] = {}
         for piece in self.ids:
             self.span[piece[:2]] = max(self.span.get(piece[:2], 1), len(piece))
-        self.known: dict[str, tuple[int, tuple[int, ...]]] = {}
+        # parts seen lately, and those seen before them: full, the older ones go
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def forward(self, text: str, best: list[int], start: int) -> list[int]:
         """Fill `best`, the scores of positions of `text`, from what it holds up to `start`;
         returns for each position after it where its last piece starts."""
-        n, value, span = len(text), self.value, self.span
+        n, value, span = len(text), self.value.get, self.span.get
         back = [-1] * (n + 1)
         for i in range(max(0, start - self.reach + 1), n):
             here = best[i]
             if here <= _NONE:
                 continue
             if i >= start:
-                s = value.get(text[i])
+                s = value(text[i])
                 if s is None:
                     s = sum([self.score[b] for b in self.vocabulary.fallback(text[i])])
-                if here + s > best[i + 1]:
-                    best[i + 1], back[i + 1] = here + s, i
-            for j in range(max(i + 2, start + 1), min(n, i + span.get(text[i : i + 2], 1)) + 1):
-                s = value.get(text[i:j])
-                if s is not None and here + s > best[j]:
-                    best[j], back[j] = here + s, i
+                s += here
+                if s > best[i + 1]:
+                    best[i + 1], back[i + 1] = s, i
+                low = i + 2
+            else:
+                low = max(i + 2, start + 1)
+            for j in range(low, min(n, i + span(text[i : i + 2], 1)) + 1):
+                s = value(text[i:j])
+                if s is not None:
+                    s += here
+                    if s > best[j]:
+                        best[j] = s
+                        back[j] = i
         return back
 
     def pieces(self, text: str, back: list[int], end: int, start: int) -> tuple[list[int], int]:
@@ -69,23 +78,28 @@ class Lattice:
             end = begin
         return out[::-1], end
 
-    def part(self, text: str) -> tuple[int, tuple[int, ...]]:
-        """Score and ids of a part on its own; frequent parts are remembered, within a bound."""
-        found = self.known.get(text)
+    def part(self, text: str) -> tuple[int, ...]:
+        """Ids of a part on its own; frequent parts are remembered, within a bound."""
+        found = self.known.get(text) or self.older.get(text)
         if found is None:
             best = [0] + [_NONE] * len(text)
             back = self.forward(text, best, 0)
-            found = best[-1], tuple(self.pieces(text, back, len(text), 0)[0])
+            found = tuple(self.pieces(text, back, len(text), 0)[0])
+        if len(text) <= 64:
             if len(self.known) >= _CACHE:
-                self.known.clear()
-            if len(text) <= 64:
-                self.known[text] = found
+                self.older, self.known = self.known, {}
+            self.known[text] = found
         return found
 
+    def total(self, ids: tuple[int, ...]) -> int:
+        return sum([self.score[i] for i in ids])
+
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
+        known = self.known
         for part in self.vocabulary.parts(self.vocabulary.mark(text)) if text else ():
-            out.extend((self.known.get(part) or self.part(part))[1])
+            out.extend(known.get(part) or self.part(part))
+            known = self.known
         return out
 
 
@@ -136,7 +150,7 @@ class Chunk:
                     if n - t > self.context or (t == 0 and n == self.context):
                         out[s, t] = max(_NONE, best[n - t])
             return out
-        middle = sum(self.lattice.part(self.text[a:b])[0] for a, b in zip(self.cuts, self.cuts[1:]))
+        middle = sum(self.lattice.total(self.lattice.part(self.text[a:b])) for a, b in zip(self.cuts, self.cuts[1:]))
         tail = self.text[self.last_cut :]
         best = [0] + [_NONE] * len(tail)
         self.lattice.forward(tail, best, 0)
@@ -173,7 +187,7 @@ class Chunk:
             return self.lattice.pieces(self.text, back, end, self.context)[0]
         out = self.lattice.pieces(self.text, back, self.first_cut, self.context)[0]
         for a, b in zip(self.cuts, self.cuts[1:]):
-            out.extend(self.lattice.part(self.text[a:b])[1])
+            out.extend(self.lattice.part(self.text[a:b]))
         tail = self.text[self.last_cut : end]
         if tail:
             # all of the tail's positions up to `end` are on their own best paths
