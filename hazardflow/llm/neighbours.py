@@ -13,7 +13,7 @@ from hazardflow.llm.common import stored
 
 #: Neighbours kept per vector, reverse edges a vector takes part with, ranks a search keeps,
 #: vectors a search opens per step.
-DEGREE, REVERSE, BEAM, WIDTH = 32, 16, 96, 24
+DEGREE, REVERSE, BEAM, WIDTH = 32, 16, 128, 24
 RUN, TABLES, OFFERS = 256, 3, 4
 
 
