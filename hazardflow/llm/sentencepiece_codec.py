@@ -32,10 +32,12 @@ class Lattice:
         self.score = [round(x * _SCALE) if x > float("-inf") else _NONE for x in vocabulary.logs]
         self.reach = vocabulary.longest
         self.value = {piece: self.score[i] for piece, i in self.ids.items()}
-        # the longest piece that starts with two characters bounds the look-up there
-        self.span: dict[str, int] = {}
-        for piece in self.ids:
-            self.span[piece[:2]] = max(self.span.get(piece[:2], 1), len(piece))
+        # every beginning of a piece, with the score if it is one: a look-up ends where none goes on
+        self.starts: dict[str, int | None] = {}
+        for piece, value in self.value.items():
+            for n in range(2, len(piece)):
+                self.starts.setdefault(piece[:n])
+            self.starts[piece] = value
         # parts seen lately, and those seen before them: full, the older ones go
         self.known: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
@@ -43,7 +45,7 @@ class Lattice:
     def forward(self, text: str, best: list[int], start: int) -> list[int]:
         """Fill `best`, the scores of positions of `text`, from what it holds up to `start`;
         returns for each position after it where its last piece starts."""
-        n, value, span = len(text), self.value.get, self.span.get
+        n, value, starts = len(text), self.value.get, self.starts.get
         back = [-1] * (n + 1)
         for i in range(max(0, start - self.reach + 1), n):
             here = best[i]
@@ -59,9 +61,11 @@ class Lattice:
                 low = i + 2
             else:
                 low = max(i + 2, start + 1)
-            for j in range(low, min(n, i + span(text[i : i + 2], 1)) + 1):
-                s = value(text[i:j])
+            for j in range(low, n + 1):
+                s = starts(text[i:j], _NONE)
                 if s is not None:
+                    if s <= _NONE:
+                        break
                     s += here
                     if s > best[j]:
                         best[j] = s
