@@ -18,6 +18,8 @@ _WORD_BASE = 0xD6E8FEB86659FD93
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?")] = True
 _QUOTES = b"\"')]"
+#: Longest part of a long sentence, in words.
+CUT = 5
 
 
 @dataclass
@@ -31,6 +33,21 @@ class Spans:
     run_hash: np.ndarray  # signed, one per run
 
 
+def _smallest(hashes: np.ndarray, ends: np.ndarray, window: int) -> np.ndarray:
+    """Places of the smallest hash (the last of equals) of every `window` words that stand in one
+    sentence; `ends` marks the sentences' last words."""
+    n = len(hashes) - window + 1
+    if n < 1:
+        return np.empty(0, np.int64)
+    low, at = hashes[:n], np.arange(n)
+    for k in range(1, window):
+        x = hashes[k : n + k]
+        at = np.where(x <= low, np.arange(k, n + k), at)
+        low = np.minimum(low, x)
+    before = np.concatenate([[0], np.cumsum(ends)])
+    return at[before[window - 1 : n + window - 1] == before[:n]]
+
+
 def spans(text: bytes, sentences: int, words: int, cut: int) -> Spans:
     starts, ends, hashes = word_hashes(text)
     n = len(starts)
@@ -44,10 +61,11 @@ def spans(text: bytes, sentences: int, words: int, cut: int) -> Spans:
         if not closing.any():
             break
         tail = np.where(closing, tail - 1, tail)
-    boundary = _ENDS[data[tail]] | (hashes % np.uint64(cut) == 0)
+    boundary = _ENDS[data[tail]]
     lines = np.flatnonzero(data == 10)
     boundary[np.searchsorted(starts, lines[lines > starts[0]]) - 1] = True
     boundary[-1] = True
+    boundary[_smallest(hashes, boundary, cut)] = True
     stop = np.flatnonzero(boundary) + 1
     first = np.concatenate([[0], stop[:-1]])
     up, down = powers(_WORD_BASE, n + 1)
@@ -131,13 +149,15 @@ _DDL = "doc_id bigint, text string, n_sentences bigint, n_removed bigint, n_word
 
 
 def substring_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sentences: int = 3,
-                    words: int = 16, cut: int = 10) -> DataFrame:
+                    words: int = 16, cut: int = CUT) -> DataFrame:
     """Remove passages that came before: one row per input row with doc_id, text (without them),
     n_sentences, n_removed, n_words, words_removed, spans (byte ranges of the input that went).
 
-    Sentences end at . ! ?, at a line end, and inside long ones after every word whose hash is
-    0 modulo `cut`: that depends on the word alone, so a passage falls into the same sentences
-    wherever it stands, even in the middle of another sentence. A run starts at each sentence and
+    Sentences end at . ! ?, at a line end, and inside long ones after the word with the smallest
+    hash of every `cut` words in a row: that depends on those words alone, so but for `cut` - 1 words
+    at either end a passage falls into the same sentences wherever it stands, even in the middle
+    of another sentence. With the defaults every passage of 40 words or more holds a whole run,
+    with or without punctuation. A run starts at each sentence and
     has `sentences` sentences, or more until it has `words` words. Runs are compared by their words
     (A-Z lower-cased) through a 64-bit hash. A run's first place is the smallest doc_id that holds
     it and its first position there; sentences under any other run with that hash go.

@@ -2,6 +2,9 @@
 
 import re
 
+import numpy as np
+import pytest
+
 from hazardflow.llm.substring_dedup import spans, substring_dedup
 
 
@@ -87,3 +90,21 @@ def test_equals_brute_force(spark):
 
 def test_empty(spark):
     assert substring_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+@pytest.mark.parametrize("punctuated", [True, False])
+@pytest.mark.parametrize("size", [51, 60, 80])
+def test_passages_inside_other_text(spark, size, punctuated):
+    rng = np.random.default_rng(size)
+
+    def text(n):
+        ends = rng.random(n) < (0.1 if punctuated else 0)
+        return " ".join(f"t{rng.integers(10**6)}" + "." * int(e) for e in ends)
+
+    docs = []
+    for i in range(150):
+        passage = text(size)
+        docs += [(2 * i + k, f"{text(rng.integers(1, 40))} {passage} {text(rng.integers(1, 40))}") for k in range(2)]
+    got = {r["doc_id"]: r["words_removed"] for r in substring_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert all(got[2 * i] == 0 and size / 2 < got[2 * i + 1] <= size for i in range(150))
+    assert sum(got.values()) >= 0.9 * 150 * size
