@@ -18,17 +18,19 @@ RUN, TABLES, OFFERS = 256, 3, 4
 
 
 def _pack(vectors: np.ndarray) -> list[bytes]:
-    """Unit vectors as a scale and one byte per component."""
+    """Unit vectors in single precision."""
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-    scale = (np.abs(unit).max(axis=1) / 127).astype(np.float32)
-    small = np.rint(unit / scale[:, None]).astype(np.int8)
-    return [s.tobytes() + v.tobytes() for s, v in zip(scale, small)]
+    return [v.tobytes() for v in unit.astype(np.float32)]
 
 
 def _unpack(blobs: list[bytes]) -> np.ndarray:
-    """Approximate unit vectors, one row each."""
-    raw = np.frombuffer(b"".join(blobs), np.uint8).reshape(len(blobs), -1)
-    return raw[:, 4:].view(np.int8).astype(np.float32) * np.ascontiguousarray(raw[:, :4]).view(np.float32)
+    """Unit vectors, one row each, in double precision, so that sums add no error of their own."""
+    return _rows(b"".join(blobs), len(blobs))
+
+
+def _rows(blob: bytes, count: int) -> np.ndarray:
+    x = np.frombuffer(blob, np.float32).reshape(count, -1).astype(np.float64)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def _valid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,11 +85,11 @@ class _Edges:
             self.parts, self.rows = [], 0
 
 
-_EDGE = "v bigint, w bigint, sim float"
+_EDGE = "v bigint, w bigint, sim double"
 
 
 def _edges() -> _Edges:
-    return _Edges(["v", "w", "sim"], [pa.int64(), pa.int64(), pa.float32()])
+    return _Edges(["v", "w", "sim"], [pa.int64(), pa.int64(), pa.float64()])
 
 
 def _first_guess(degree: int):
@@ -104,7 +106,7 @@ def _first_guess(degree: int):
             if k < 1:
                 return
             best = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-            out.add(np.repeat(ids, k), ids[best].ravel(), np.take_along_axis(sims, best, 1).ravel().astype(np.float32))
+            out.add(np.repeat(ids, k), ids[best].ravel(), np.take_along_axis(sims, best, 1).ravel())
 
         ids, blobs = np.empty(0, np.int64), []
         for batch in batches:
@@ -155,7 +157,7 @@ def _local_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         value = np.take_along_axis(sims, best, 1)
         good = value > floor[:, None]
         rows, cols = np.nonzero(good)
-        out.add(ids[rows], ids[best[rows, cols]], value[rows, cols].astype(np.float32))
+        out.add(ids[rows], ids[best[rows, cols]], value[rows, cols])
         yield from out.take(50_000)
     yield from out.take()
 
@@ -202,7 +204,7 @@ def nn_descent(vectors: DataFrame, dimension: int, degree: int = DEGREE, reverse
     graph = stored(_top(guess.withColumn("new", F.lit(1)), degree), "graph")
     for turn in range(rounds):
         floors = graph.groupBy("v").agg(F.min("sim").alias("low"), F.count("*").alias("n")).select(
-            F.col("v").alias("y"), F.when(F.col("n") < degree, -2.0).otherwise(F.col("low")).cast("float").alias("floor")
+            F.col("v").alias("y"), F.when(F.col("n") < degree, -2.0).otherwise(F.col("low")).alias("floor")
         )
         nodes = known.withColumnRenamed("id", "y").join(floors, "y")
         edges = _some_reverse(graph, reverse, 2 * turn)
@@ -239,18 +241,18 @@ def adjacency(graph: DataFrame, vectors: DataFrame, reverse: int = REVERSE) -> D
 
 def _open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Similarities of queries to the neighbours of the nodes they open."""
-    out = _Edges(["query", "node", "sim", "opened"], [pa.int64(), pa.int64(), pa.float32(), pa.int32()])
+    out = _Edges(["query", "node", "sim", "opened"], [pa.int64(), pa.int64(), pa.float64(), pa.int32()])
     for batch in batches:
         for query, q, ids, blob in zip(*(batch.column(c).to_pylist() for c in ("query", "q", "ids", "blob"))):
             nodes = np.frombuffer(ids, np.int64)
             x = _unpack([q])[0]
-            y = _unpack([blob[i : i + len(q)] for i in range(0, len(blob), len(q))])
+            y = _rows(blob, len(nodes))
             out.add(np.full(len(nodes), query), nodes, y @ x, np.zeros(len(nodes), np.int32))
             yield from out.take(50_000)
     yield from out.take()
 
 
-_BEAM = "query bigint, node bigint, sim float, opened int"
+_BEAM = "query bigint, node bigint, sim double, opened int"
 
 
 def greedy_search(links: DataFrame, queries: DataFrame, beam: int = BEAM, width: int = WIDTH) -> DataFrame:
@@ -261,7 +263,7 @@ def greedy_search(links: DataFrame, queries: DataFrame, beam: int = BEAM, width:
     the best `beam` of what is known; a query is done when its whole list is opened.
     """
     queries = stored(queries, "queries")
-    known = queries.select("query", "node", F.lit(2.0).cast("float").alias("sim"), F.lit(0).alias("opened"))
+    known = queries.select("query", "node", F.lit(2.0).alias("sim"), F.lit(0).alias("opened"))
     while True:
         turn = Window.partitionBy("query", "opened").orderBy(F.col("sim").desc(), "node")
         marked = stored(known.withColumn("turn", (F.row_number().over(turn) <= width) & (F.col("opened") == 0)), "beam")
@@ -290,14 +292,14 @@ def _cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def nearest(vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", every: int = 50, count: int = 5,
-            check: int = 32, beam: int = BEAM, width: int = WIDTH, **graph) -> DataFrame:
+            beam: int = BEAM, width: int = WIDTH, **graph) -> DataFrame:
     """The `count` nearest vectors by cosine of every row whose id is divisible by `every`, among
     all other rows: query_id, rank (from 1), vec_id, score, nearest first, ties to smaller ids.
 
     Every usable vector is in the graph of `nn_descent`; vectors equal in every component are one
     node that keeps the `count` + 1 smallest ids, all that an answer can show of them. A query
-    starts at its own node. Graph and search work on vectors of one byte a component; the best
-    `check` nodes of each query are then measured on the original vectors in double precision.
+    starts at its own node. Graph and search work on unit vectors in single precision; all nodes of a
+    query's list are then measured on the original vectors in double precision.
 
     Null, empty and zero vectors, vectors holding null or non-finite components, and rows with a
     null id take no part; nor do vectors of another length than the most common one (ties: the
@@ -325,11 +327,8 @@ def nearest(vectors: DataFrame, id_column: str = "vec_id", vector_column: str =
         "asked",
     )
     found = greedy_search(links, asked.select("query", "q", "node"), beam, width)
-    # the own node has the highest rank in the list; it is measured like the others
-    best = Window.partitionBy("query").orderBy(F.col("sim").desc(), "node")
-    short = found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= check).select("query", "node")
     scored = (
-        short.join(nodes.select(F.col("id").alias("node"), F.col("exact").alias("other")), "node")
+        found.select("query", "node").join(nodes.select(F.col("id").alias("node"), F.col("exact").alias("other")), "node")
         .join(asked.select("query", "exact"), "query").select("query", "node", "exact", "other")
         .mapInArrow(_cosines, "query bigint, node bigint, score double")
     )

@@ -61,3 +61,20 @@ def test_packing_is_close():
     v = np.random.default_rng(1).normal(size=(20, 64))
     unit = v / np.linalg.norm(v, axis=1, keepdims=True)
     assert np.abs(_unpack(_pack(v)) - unit).max() < 0.003
+
+
+def test_dense_groups(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for size, noise in ((100, 0.01), (500, 0.01), (500, 0.001), (2000, 0.01)):
+        rows += (rng.normal(size=64) + noise * rng.normal(size=(size, 64))).tolist()
+    rows += rng.normal(size=(400, 64)).tolist()
+    ids = list(range(len(rows)))
+    want = brute(ids, rows, 50, 5)
+    got = {}
+    for r in nearest(spark.createDataFrame(list(zip(ids, rows)), "vec_id long, embedding array<double>")).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    groups = {0: (0, 100), 1: (100, 600), 2: (600, 1100), 3: (1100, 3100)}
+    for low, high in groups.values():
+        of = [q for q in want if low <= q < high]
+        assert sum(len(got[q] & {v for v, _ in want[q]}) for q in of) >= 0.9 * 5 * len(of), (low, high)
