@@ -218,3 +218,13 @@ def test_lines_run_without_python(spark):
     df = spark.createDataFrame(line_rows(), "doc_id long, text string")
     plan = line_components(df)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_rows_with_one_id_lose_their_own_lines(spark):
+    one = lambda i: f"{i * 7919 % 1000003} only line {'abcdefghij'[i] * 12} stands here"
+    same = "this line stands in several documents"
+    rows = [(1, f"{same}\n{one(0)}"), (None, f"{same}\n{one(1)}"), (None, f"{one(2)}\n{one(3)}"), (None, f"{one(4)}\n{same}"),
+            (5, f"{same}\n{one(5)}"), (5, f"{one(6)}\n{one(7)}"), (5, f"{one(6)}\n{one(7)}"), (None, None)]
+    got = sorted(drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect(), key=str)
+    left = [(i, t and "\n".join(x for x in t.split("\n") if x != same or i == 1)) for i, t in rows]
+    assert [tuple(r) for r in got] == [tuple(r) for r in sorted(spark.createDataFrame(left, "doc_id long, text string").collect(), key=str)]
