@@ -74,8 +74,9 @@ FEATURES = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, bands array<
 
 
 def signature(items: np.ndarray) -> np.ndarray:
-    """Two low bits of each of `FUNCTIONS` minima, 32 of them to a word."""
-    low = minima(items, _constants(FUNCTIONS)) & np.uint64(3)
+    """Two bits of each of `FUNCTIONS` minima, 32 of them to a word. The minima are mixed first: low
+    bits of a product depend on low bits only, and would agree by chance in all functions at once."""
+    low = scramble(minima(items, _constants(FUNCTIONS))) & np.uint64(3)
     packed = low.reshape(-1, 32) << (np.arange(32, dtype=np.uint64) * np.uint64(2))
     return np.bitwise_or.reduce(packed, axis=1).view(np.int64)
 
@@ -135,7 +136,7 @@ def near_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
 
     Equal sets are one class with its smallest id. For each class 32 bands of 4 minima give
     candidate buckets (a pair at 0.8 is missed once in twenty million). Documents that share a
-    bucket get a signature: the two low bits of 1,024 minima, packed into 32 integers. Candidates
+    bucket get a signature: two bits of each of 1,024 mixed minima, packed into 32 integers. Candidates
     whose corrected estimate from bit counts is more than `slack` below the limit (five standard
     deviations), or whose set sizes alone rule a link out, go; all others are confirmed on full
     sets. `linked_buckets` keeps the pairs per bucket few and loses no link that could join two

@@ -228,3 +228,15 @@ def test_rows_with_one_id_lose_their_own_lines(spark):
     got = sorted(drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect(), key=str)
     left = [(i, t and "\n".join(x for x in t.split("\n") if x != same or i == 1)) for i, t in rows]
     assert [tuple(r) for r in got] == [tuple(r) for r in sorted(spark.createDataFrame(left, "doc_id long, text string").collect(), key=str)]
+
+
+@pytest.mark.parametrize("both, either", [(4, 5), (8, 10)])
+def test_short_near_copies_are_linked(spark, both, either):
+    rng = np.random.default_rng(either)
+    rows = []
+    for i in range(4000):
+        w = [f"w{x}" for x in rng.integers(0, 10**9, either + 3)]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(w[: both + 3]))]
+    got = near_dedup(spark.createDataFrame(rows, "doc_id long, text string"), width=4).where("not kept").collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(1, 8000, 2))
+    assert all(r["component_id"] == r["doc_id"] - 1 for r in got)
