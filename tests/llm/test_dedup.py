@@ -240,3 +240,15 @@ def test_short_near_copies_are_linked(spark, both, either):
     got = near_dedup(spark.createDataFrame(rows, "doc_id long, text string"), width=4).where("not kept").collect()
     assert sorted(r["doc_id"] for r in got) == list(range(1, 8000, 2))
     assert all(r["component_id"] == r["doc_id"] - 1 for r in got)
+
+
+def test_short_lines_are_linked(spark):
+    rng = np.random.default_rng(6)
+    rows, sizes = [], [(4, 5), (5, 6), (8, 10), (12, 15)]
+    for kind, (both, either) in enumerate(sizes):
+        for i in range(2000):
+            line = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), either + 7))
+            rows.append((10_000 * kind + i, f"{line}\n{line[:both + 7]}"))
+    missed = line_components(spark.createDataFrame(rows, "doc_id long, text string")).where("copies = 1")
+    counts = {r["kind"]: r["count"] / 2 for r in missed.groupBy(F.floor(F.col("doc_id") / 10_000).alias("kind")).count().collect()}
+    assert all(n <= 0.006 * 2000 for n in counts.values()), counts
