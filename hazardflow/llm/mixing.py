@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -65,19 +67,18 @@ def _odds_rank(key, weight):
 
 def _fill(rows):
     """Take whole units in order while they fit in what a source still needs (one source's last
-    interval); then one more if that ends nearer to the need."""
+    interval). Beside those, the smallest that does not fit, and what is left of the need."""
     need = float(rows["need"].iloc[0])
     units = rows.groupby(["rank", "key"], sort=True, as_index=False)["size"].sum()
     chosen, over = [], None
     for key, size in zip(units["key"], units["size"]):
         if size <= need:
-            chosen.append(key)
+            chosen.append((key, size, True))
             need -= size
         elif over is None or size < over[1]:
-            over = (key, size)
-    if over is not None and over[1] - need < need:
-        chosen.append(over[0])
-    return pd.DataFrame({"source_no": rows["source_no"].iloc[0], "key": pd.Series(chosen, dtype="int64"), "chosen": True})
+            over = (key, size, False)
+    out = pd.DataFrame(chosen + ([over] if over else []), columns=["key", "size", "chosen"])
+    return out.assign(source_no=rows["source_no"].iloc[0], rest=need)[["source_no", "key", "size", "chosen", "rest"]]
 
 
 def _small(df: DataFrame, rows: int) -> DataFrame:
@@ -85,6 +86,43 @@ def _small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def _narrow(open_rows: DataFrame, bounds: DataFrame, steps: int, last: int) -> DataFrame:
+    """The interval of the order in which each source's running sum passes its need, with at most
+    `last` rows, and what is needed there: (source_no, need, lo, hi)."""
+    bounds = bounds.withColumns({"lo": F.lit(0.0), "hi": F.lit(1.0), "n": F.lit(None).cast("bigint")})
+    for _ in range(6):
+        width = (F.col("hi") - F.col("lo")) / steps
+        place = F.least(F.floor((F.col("rank") - F.col("lo")) / width), F.lit(steps - 1))
+        inside = open_rows.join(_small(bounds, 100_000), "source_no").where("rank >= lo and rank < hi and (n is null or n > %d)" % last)
+        sums = inside.groupBy("source_no", place.alias("slice")).agg(
+            F.sum("size").alias("slice_size"), F.count("*").alias("slice_n")
+        )
+        running = Window.partitionBy("source_no").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
+        crossing = (
+            sums.join(_small(bounds, 100_000), "source_no")
+            .withColumn("upto", F.sum("slice_size").over(running))
+            .withColumn("all_n", F.sum("slice_n").over(Window.partitionBy("source_no")))
+            .where(F.col("upto") >= F.col("need"))
+            .groupBy("source_no")
+            .agg(F.min(F.struct("slice", "upto", "slice_size", "slice_n", "all_n", "need", "lo", "hi")).alias("x"))
+            .select("source_no", "x.*")
+        )
+        small = F.col("all_n") <= last
+        cut = crossing.select(
+            "source_no",
+            F.when(small, F.col("need")).otherwise(F.col("need") - F.col("upto") + F.col("slice_size")).alias("need"),
+            F.when(small, F.col("lo")).otherwise(F.col("lo") + F.col("slice") * width).alias("lo"),
+            F.when(small | (F.col("slice") == steps - 1), F.col("hi"))
+            .otherwise(F.col("lo") + (F.col("slice") + 1) * width).alias("hi"),
+            F.when(small, F.col("all_n")).otherwise(F.col("slice_n")).alias("n"),
+        )
+        settled = bounds.where(F.col("n") <= last)
+        bounds = stored(cut.unionByName(settled), "bounds")
+        if (bounds.agg(F.max("n")).first()[0] or 0) <= last:
+            break
+    return bounds.drop("n")
+
+
 def mix_plan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
              source_column: str = "source", weight_column: str | None = None,
              weights: tuple[float, ...] = WEIGHTS, share: float = 1.5, most: float = 2.0, seed: int = 17,
@@ -98,7 +136,9 @@ def mix_plan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     odds, whole, until their words reach what is left. Where the sums pass that point is found by
     narrowing an interval of the order: sums of sizes over `steps` slices for all sources at once,
     then within the slice that crosses, until it holds at most `last` rows. Only those rows are
-    taken one by one, first fit. So the sample's words are fixed, within about one document.
+    taken one by one, first fit; with what is then left the order goes on behind them, among rows
+    that may fit, until none does. Last, the smallest row that did not fit is taken if that ends
+    nearer to the target. So the sample's words are fixed, within about one small document.
 
     `weight_column` multiplies a document's inclusion odds (null or not positive: 1). The random
     number is a hash of id and text, so reruns and recomputed tasks agree; rows equal in both are
@@ -135,48 +175,38 @@ def mix_plan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
                 _odds_rank(F.col("key"), F.col("weight")).alias("rank")),
         "ranked",
     )
-    bounds = targets.where("need > 0").select("source_no", "need", F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi"), F.lit(None).cast("bigint").alias("n"))
+    bounds = targets.where("need > 0").select("source_no", "need")
     open_rows = rows.select("source_no", "rank", "size", "key")
-    for _ in range(6):
-        width = (F.col("hi") - F.col("lo")) / steps
-        place = F.least(F.floor((F.col("rank") - F.col("lo")) / width), F.lit(steps - 1))
-        inside = open_rows.join(_small(bounds, 100_000), "source_no").where("rank >= lo and rank < hi and (n is null or n > %d)" % last)
-        sums = inside.groupBy("source_no", place.alias("slice")).agg(
-            F.sum("size").alias("slice_size"), F.count("*").alias("slice_n")
+    bounds = first = _narrow(open_rows, bounds, steps, last)
+    taken, rests, overs = [], [], []
+    while True:
+        inside = open_rows.join(_small(bounds, 100_000), "source_no").where("rank >= lo and rank < hi")
+        edge = stored(inside.groupBy("source_no").applyInPandas(_fill, "source_no bigint, key bigint, size bigint, chosen boolean, rest double"), "edge")
+        taken.append(edge.where("chosen").select("source_no", "key"))
+        overs.append(edge.where("not chosen").select("source_no", "key", "size"))
+        rest = stored(edge.groupBy("source_no").agg(F.min("rest").alias("need")).join(bounds.select("source_no", "hi"), "source_no"), "rest")
+        rests.append(rest.select("source_no", F.col("need").alias("rest")))
+        # what did not fit is left out; the order goes on behind it with units that may fit
+        behind = stored(
+            open_rows.join(_small(rest, 100_000), "source_no").where("rank >= hi and size > 0 and size <= need")
+            .groupBy("source_no", "rank", "key").agg(F.sum("size").alias("size"), F.first("need").alias("need")).where("size <= need"),
+            "behind",
         )
-        running = Window.partitionBy("source_no").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
-        crossing = (
-            sums.join(_small(bounds, 100_000), "source_no")
-            .withColumn("upto", F.sum("slice_size").over(running))
-            .withColumn("all_n", F.sum("slice_n").over(Window.partitionBy("source_no")))
-            .where(F.col("upto") >= F.col("need"))
-            .groupBy("source_no")
-            .agg(F.min(F.struct("slice", "upto", "slice_size", "slice_n", "all_n", "need", "lo", "hi")).alias("x"))
-            .select("source_no", "x.*")
-        )
-        small = F.col("all_n") <= last
-        cut = crossing.select(
-            "source_no",
-            F.when(small, F.col("need")).otherwise(F.col("need") - F.col("upto") + F.col("slice_size")).alias("need"),
-            F.when(small, F.col("lo")).otherwise(F.col("lo") + F.col("slice") * width).alias("lo"),
-            F.when(small | (F.col("slice") == steps - 1), F.col("hi"))
-            .otherwise(F.col("lo") + (F.col("slice") + 1) * width).alias("hi"),
-            F.when(small, F.col("all_n")).otherwise(F.col("slice_n")).alias("n"),
-        )
-        settled = bounds.where(F.col("n") <= last)
-        bounds = stored(cut.unionByName(settled), "bounds")
-        if (bounds.agg(F.max("n")).first()[0] or 0) <= last:
+        if behind.isEmpty():
             break
-    bounds = bounds.drop("n")
-    edge = (
-        open_rows.join(_small(bounds, 100_000), "source_no")
-        .where("rank >= lo and rank < hi")
-        .groupBy("source_no")
-        .applyInPandas(_fill, "source_no bigint, key bigint, chosen boolean")
-    )
-    edge = stored(edge, "edge")
+        sums = stored(behind.groupBy("source_no").agg(F.sum("size").alias("all"), F.first("need").alias("need")), "sums")
+        whole = sums.where("all <= need")
+        rests.append(whole.select("source_no", (F.col("need") - F.col("all")).alias("rest")))
+        open_rows = behind.select("source_no", "rank", "size", "key")
+        bounds = _narrow(open_rows, sums.where("all > need").select("source_no", "need"), steps, last)
+        below = open_rows.join(_small(bounds, 100_000), "source_no").where("rank < lo")
+        taken += [x.select("source_no", "key") for x in (below, open_rows.join(whole, "source_no", "left_semi"))]
+    left = reduce(DataFrame.unionByName, rests).groupBy("source_no").agg(F.min("rest").alias("rest"))
+    over = reduce(DataFrame.unionByName, overs).groupBy("source_no").agg(F.min(F.struct("size", "key")).alias("over"))
+    nearer = over.join(left, "source_no").where("over.size - rest < rest").select("source_no", "over.key")
+    edge = stored(reduce(DataFrame.unionByName, [*taken, nearer]).distinct().withColumn("chosen", F.lit(True)), "edge")
     return (
-        rows.join(_small(bounds.select("source_no", "lo"), 100_000), "source_no", "left")
+        rows.join(_small(first.select("source_no", "lo"), 100_000), "source_no", "left")
         .join(_small(edge, 500_000), ["source_no", "key"], "left")
         .select(
             "doc_id", "source", "key", "size", "source_size", "target",

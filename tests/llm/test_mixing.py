@@ -89,3 +89,9 @@ def test_weights_change_who_is_taken(spark):
     plan = [r for r in mix_plan(df, weights=(1, 3), share=0.5, most=2.0, weight_column="w").collect() if r["source"] == "s"]
     heavy, light = (sum(r["copies"] for r in plan if (r["doc_id"] < 100) == h) for h in (True, False))
     assert heavy > 3 * light and heavy + light > 0
+
+
+def test_long_documents_at_the_cut(spark):
+    rows = [(1000 * s + i, "w " * (150 if i % 100 == 0 else 7 + i % 4), f"s{s:02}") for s in range(30) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    check(rows, mix_plan(df, last=3, steps=8).collect(), lambda s: 10)
