@@ -10,10 +10,13 @@ from hazardflow.llm.exact_dedup import exact_dedup
 from hazardflow.llm.langid import predict
 from hazardflow.llm.line_dedup import line_components
 from hazardflow.llm.lm_score import lm_score
+from hazardflow.llm.merkle import tamper_check
 from hazardflow.llm.mixing import mix_plan
 from hazardflow.llm.near_dedup import near_dedup
 from hazardflow.llm.neighbours import nearest
+from hazardflow.llm.periodic_runs import periodic_runs, run_digests, with_planted_period
 from hazardflow.llm.quality import quality
+from hazardflow.llm.secrets import find_secrets, fit_models, scan_digests
 from hazardflow.llm.sentencepiece_codec import encode
 from hazardflow.llm.substring_dedup import substring_dedup
 
@@ -61,6 +64,19 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(documents(spark, sf_dir), width=4)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tamper_check(documents(spark, sf_dir))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(periodic_runs(with_planted_period(documents(spark, sf_dir))))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return scan_digests(find_secrets(docs, fit_models(docs)))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_compression_quality": op2_compression_quality,
@@ -72,4 +88,7 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_nearest": op9_nearest,
     "op10_near_dedup": op10_near_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_secret_scan": op13_secret_scan,
 }

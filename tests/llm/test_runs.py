@@ -1,0 +1,130 @@
+"""Runs of words against brute force."""
+
+import hashlib
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from hazardflow.llm.periodic_runs import _stretches, lyndon_lengths, periodic_runs, run_digests, runs_of, with_planted_period
+
+
+def lyndon(words):
+    """Up to the next smaller suffix."""
+    out = []
+    for i in range(len(words)):
+        j = i + 1
+        while j < len(words) and words[j:] > words[i:]:
+            j += 1
+        out.append(j - i)
+    return out
+
+
+def brute(words, exponent=4, least=6):
+    """Stretches of equal words q apart, for every q; the smallest q of a stretch is its period."""
+    best = {}
+    for q in range(1, len(words) // exponent + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j > i and j - i + q >= max(least, exponent * q):
+                best.setdefault((i, j + q), q)
+            i = max(j, i + 1)
+    return sorted((s, e - s, q) for (s, e), q in best.items())
+
+
+def texts(seed, n, size):
+    rng = random.Random(seed)
+    for _ in range(n):
+        k, m = rng.choice([1, 2, 2, 3, 5, 40]), rng.randrange(size)
+        words = [rng.randrange(k) for _ in range(m)]
+        if m > 4 and rng.random() < 0.6:
+            a = rng.randrange(m)
+            p = rng.randrange(1, 1 + max(1, (m - a) // 3))
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(m)]
+            words += [rng.randrange(k) for _ in range(rng.randrange(4))]
+        yield words
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_grouping_yields_lyndon_lengths(seed):
+    for words in texts(seed, 300, 80):
+        assert lyndon_lengths(words) == lyndon(words)
+        negative = [-w for w in words]
+        assert lyndon_lengths(negative) == lyndon(negative)
+
+
+@pytest.mark.parametrize("exponent,least", [(4, 6), (2, 2), (3, 5), (6, 12)])
+def test_runs_equal_brute_force(exponent, least):
+    for words in texts(exponent, 600, 70):
+        ids, found = np.array(words, dtype=np.int64), set()
+        for a, b in _stretches(ids, exponent, least):
+            found |= runs_of(ids, a, b, exponent, least)
+        assert sorted(found) == brute(words, exponent, least)
+
+
+def test_long_regular_words():
+    fibonacci = [0], [0, 1]
+    while len(fibonacci[1]) < 3000:
+        fibonacci = fibonacci[1], fibonacci[1] + fibonacci[0]
+    words = fibonacci[1][:2500]
+    ids = np.array(words)
+    assert sorted(runs_of(ids, 0, len(ids), 2, 2)) == brute(words, 2, 2)
+    same = np.zeros(150_000, np.int64)
+    assert runs_of(same, 0, len(same), 4, 6) == {(0, 150_000, 1)}
+
+
+def digests(text):
+    words = (text or "").encode().split()
+    runs = brute(words)
+    dropped = {i for s, size, q in runs for i in range(s + q, s + size)}
+    best = None
+    for s, size, q in sorted((s, x, q) for s, x, q in runs):
+        if best is None or size * best[2] > best[1] * q:
+            best = (s, size, q)
+    listed = "".join(f"{s},{x},{q}\n" for s, q, x in sorted((s, q, x) for s, x, q in runs))
+    kept = b" ".join(w for i, w in enumerate(words) if i not in dropped)
+    milli = (1000 * best[1] // best[2],) if best else (None,)
+    return (len(runs), *(best or (None,) * 3), *milli, hashlib.sha256(listed.encode()).hexdigest(), hashlib.sha256(kept).hexdigest())
+
+
+def planted(doc_id, text):
+    words = (text or "").encode().split()
+    h, n = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1, len(words)
+    if h % 10 or not n:
+        return text
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return b" ".join(words[i] if i < a else words[a + (i - a) % p] for i in range(n)).decode()
+
+
+def test_query_equals_brute_force(spark):
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice("abcde") * rng.choice([1, 1, 3]) for _ in range(rng.randrange(120)))) for i in range(400)]
+    odd = [None, "", " \t\n", "a" * 50, "É" * 3 + " é é é é é é é", "x x " * 9, "a a \x0b a \x0c a\ra\ta", "ha " * 7 + "ho", "go go go go go"]
+    rows += [(1000 + i, t) for i, t in enumerate(odd)] + [(None, "no no no no no no yes")] * 2 + [(3, "twice " * 8)] * 2
+    rows += [(2000 + i, "lorem ipsum dolor sit amet " * 9000) for i in range(2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = [tuple(r) for r in run_digests(periodic_runs(with_planted_period(df))).collect()]
+    want = []
+    for i, t in rows:
+        if i is not None and 2000 <= i:
+            continue
+        want.append((i, *digests(planted(i, t))))
+    assert sorted((r for r in out if r[0] is None or r[0] < 2000), key=str) == sorted(want, key=str)
+    long = {r[0]: r for r in out if r[0] is not None and r[0] >= 2000}
+    assert len(long) == 2 and all(r[1] == 1 and r[2:5] == (0, 45_000, 5) for i, r in long.items() if zlib.crc32(str(i).encode()) % 10)
+
+
+def test_outputs_of_the_operator(spark):
+    df = spark.createDataFrame([(1, "a b a b a b a b c c", "x", 1)], "id long, `my text` string, runs string, n_words long")
+    row = periodic_runs(df, "id", "my text").first()
+    assert row["collapsed"] == "a b c c" and row["n_words"] == 10 and [tuple(r) for r in row["runs"]] == [(0, 8, 2)]
+    assert [tuple(r) for r in periodic_runs(df, "id", "my text", min_exponent=2, min_length=2).first()["runs"]] == [(0, 8, 2), (8, 2, 1)]
+    assert periodic_runs(df.limit(0), "id", "my text").count() == 0
+    with pytest.raises(ValueError):
+        periodic_runs(df, "id", "my text", min_exponent=1)
