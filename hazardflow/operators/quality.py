@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from hazardflow.functions.casts import known, quoted
 from hazardflow.operators.columns import entries, numeric_columns
 from hazardflow.operators.order import exact_quantiles
+from hazardflow.operators.selection import TRACKED, frequent, highest, leaders, settled
 
 # Fixed value: text accepted as a number, unsigned, without exponent.
 NUMERIC_TEXT = r"^[0-9]+(\.[0-9]+)?$"
@@ -168,21 +169,48 @@ def fit_imputer(
     return Fills(values, [c for c in present if c not in values])
 
 
-def column_modes(df: DataFrame, columns: list[str]) -> dict[str, object]:
-    """Most frequent non-missing value per column, ties to the smallest text; one pass."""
+def column_modes(df: DataFrame, columns: list[str], tracked: int = TRACKED) -> dict[str, object]:
+    """Most frequent non-missing value per column, ties to the smallest text.
+
+    One pass keeps a bounded table of frequent values per column. It settles columns of few values
+    and those with one value well ahead. For near ties a second pass counts the leaders; a column
+    without any frequent value is counted in full, the only case in which its values are shuffled.
+    """
     if not columns:
         return {}
-    items = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.when(~is_missing(df, c), quoted(c)).cast("string").alias("value"),
-            )
-            for c in columns
-        ]
+    plain = {c: f"c{i}" for i, c in enumerate(columns)}
+    texts = df.select(
+        *[F.when(~is_missing(df, c), quoted(c)).cast("string").alias(n) for c, n in plain.items()]
     )
+    tables = texts.agg(
+        *[F.count(n).alias(f"n_{n}") for n in plain.values()],
+        *[frequent(n, tracked).alias(f"t_{n}") for n in plain.values()],
+    )
+    tables = tables.select("*", *[highest(F.col(f"t_{n}")).alias(f"b_{n}") for n in plain.values()])
+    steps = []
+    for n in plain.values():
+        rows = F.col(f"n_{n}")
+        near = leaders(F.col(f"t_{n}"), F.col(f"b_{n}"), rows, tracked)
+        mode = settled(near, rows, tracked)
+        steps.append(F.struct(rows.alias("rows"), mode.alias("mode"), F.when(mode.isNull(), near).alias("near")).alias(n))
+    found = tables.select(*steps).first()
+    modes = {c: found[n]["mode"] for c, n in plain.items() if found[n]["mode"] is not None}
+    open_columns = {c: n for c, n in plain.items() if c not in modes and found[n]["rows"]}
+    if open_columns:
+        modes.update(_counted_modes(texts, {c: (n, found[n]["near"]) for c, n in open_columns.items()}))
+    return {c: _of_type(modes[c], df.schema[c].dataType) for c in columns if c in modes}
+
+
+def _counted_modes(texts: DataFrame, columns: dict[str, tuple[str, list[str] | None]]) -> dict[str, str]:
+    """Modes by counts: of the given values, or of all where none are given; one pass."""
+
+    def item(c: str, n: str, near: list[str] | None) -> Column:
+        value = F.col(n) if near is None else F.when(F.col(n).isin(near), F.col(n))
+        return F.struct(F.lit(c).alias("column"), value.alias("value"))
+
+    items = F.array(*[item(c, n, near) for c, (n, near) in columns.items()])
     counted = (
-        df.select(F.explode(items).alias("e"))
+        texts.select(F.explode(items).alias("e"))
         .where("e.value is not null")
         .groupBy("e.column", "e.value")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -191,19 +219,15 @@ def column_modes(df: DataFrame, columns: list[str]) -> dict[str, object]:
     best = counted.groupBy("column").agg(
         F.min_by("value", F.struct((-F.col("n")).alias("n"), F.col("value"))).alias("value")
     )
-    out: dict[str, object] = {}
-    for row in best.collect():
-        kind = df.schema[row["column"]].dataType
-        text = row["value"]
-        if isinstance(kind, T.IntegralType):
-            out[row["column"]] = int(text)
-        elif isinstance(kind, T.NumericType):
-            out[row["column"]] = float(text)
-        elif isinstance(kind, T.BooleanType):
-            out[row["column"]] = text == "true"
-        else:
-            out[row["column"]] = text
-    return out
+    return {row["column"]: row["value"] for row in best.collect()}
+
+
+def _of_type(text: str, kind: T.DataType) -> object:
+    if isinstance(kind, T.IntegralType):
+        return int(text)
+    if isinstance(kind, T.NumericType):
+        return float(text)
+    return text == "true" if isinstance(kind, T.BooleanType) else text
 
 
 def apply_imputer(df: DataFrame, fills: Fills) -> DataFrame:

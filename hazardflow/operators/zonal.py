@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardflow.functions.casts import known, quoted
-from hazardflow.operators.order import ROWS_PER_RANGE, before_sums, ranged
+from hazardflow.operators.selection import SKETCH, TRACKED, ordered_stats
 from hazardflow.sources.schemas import ZONAL_STATS
 
+
 def zonal_stats(
     df: DataFrame,
     zone: str,
     variables: dict[str, Column | str] | list[str],
     stats: list[str] | dict[str, list[str]] | None = None,
-    rows_per_range: int = ROWS_PER_RANGE,
+    size: int = SKETCH,
+    tracked: int = TRACKED,
 ) -> DataFrame:
     """One row per zone with a column `{V}_{stat}` for each variable and statistic.
 
@@ -24,68 +26,35 @@ def zonal_stats(
     0.0. The median averages the two middle cells, the mode takes the smallest of equally frequent
     values.
 
-    Maximum, minimum, sum, count and mean are one partial aggregate. For median and mode, cells
-    are counted per (zone, variable, value) before anything is shuffled, the counts are laid out
-    in value ranges, and ranks come from running counts within a range. The number of ranges
-    follows the number of cells and a zone may have any number of them, so no task sorts a whole
-    hot zone; the size of a zone never changes its result.
+    Maximum, minimum, sum, count and mean are one partial aggregate. Median and mode come from the
+    same pass by bounded summaries (`size`, `tracked`), which are exact for zones that fit; further
+    passes over the cells of larger zones count what the summaries propose. No zone is sorted or
+    shuffled whole, and neither size changes a result.
     """
     if not isinstance(variables, dict):
         variables = {v: v for v in variables}
     if not isinstance(stats, dict):
         stats = {v: stats or ZONAL_STATS for v in variables}
+    names = {v: f"c{i}" for i, v in enumerate(variables)}
     cells = df.select(
         quoted(zone).alias("zone"),
-        *[(known(c) + F.lit(0.0)).alias(v) for v, c in variables.items()],
+        *[(known(c) + F.lit(0.0)).alias(names[v]) for v, c in variables.items()],
     )
-    names = list(variables)
     make = {"max": F.max, "min": F.min, "sum": F.sum, "count": F.count, "mean": F.avg}
-    out = cells.groupBy("zone").agg(
-        *[make[s](v).alias(f"{v}_{s}") for v in names for s in stats[v] if s in make],
-        F.count(F.lit(1)).alias("_cells"),
-    )
-    if ordered := {v: [s for s in stats[v] if s not in make] for v in names}:
-        if any(ordered.values()):
-            found = _ordered(cells, {v: s for v, s in ordered.items() if s}, rows_per_range)
-            both = out.alias("p").join(found.alias("o"), F.col("p.zone").eqNullSafe(F.col("o.zone")), "left")
-            out = both.select("p.*", *[f"o.`{c}`" for c in found.columns if c != "zone"])
-    listed = [f"{v}_{s}" for v in names for s in stats[v]]
-    return out.select(F.col("zone").alias(zone), *[quoted(c) for c in listed])
-
-
-def _ordered(cells: DataFrame, stats: dict[str, list[str]], rows_per_range: int) -> DataFrame:
-    """Median and mode per zone, from counts per distinct value."""
-    names = list(stats)
-    counted = (
-        cells.unpivot(["zone"], names, "variable", "value")
-        .where("value is not null")
-        .groupBy("zone", "variable", "value")
-        .agg(F.count(F.lit(1)).alias("cells"))
-    )
-    cut = ranged(counted, ["zone", "variable", "value"], cells.count() * len(names), rows_per_range)
-    ranked = before_sums(cut, ["zone", "variable"], "value", ["cells"])
-
-    # Ranks of the lower and upper middle cell; they are equal for odd counts.
-    lower = F.floor((F.col("all_cells") + 1) / 2)
-    upper = F.floor(F.col("all_cells") / 2) + 1
+    plain = {(v, s): f"p{i}_{s}" for i, v in enumerate(names) for s in stats[v] if s in make}
+    aggs = [make[s](names[v]).alias(c) for (v, s), c in plain.items()]
+    ordered = {s: [v for v in names if s in stats[v]] for s in ("median", "mode")}
+    if any(ordered.values()):
+        medians, modes = ([names[v] for v in ordered[s]] for s in ("median", "mode"))
+        out = ordered_stats(cells, "zone", medians, modes, aggs, size, tracked)
+    else:
+        out = cells.groupBy("zone").agg(*aggs, F.count(F.lit(1)).alias("_cells"))
 
-    def at(rank: Column) -> Column:
-        here = (F.col("before_cells") < rank) & (
-            rank <= F.col("before_cells") + F.col("cells")
-        )
-        return F.max(F.when(here, F.col("value")))
+    def column(v: str, s: str) -> Column:
+        return F.col(plain[v, s]) if s in make else F.get(f"{s}s", F.lit(ordered[s].index(v)))
 
-    per_variable = ranked.groupBy("zone", "variable").agg(
-        ((at(lower) + at(upper)) / 2).alias("median"),
-        F.min_by("value", F.struct((-F.col("cells")).alias("n"), F.col("value"))).alias("mode"),
-    )
-    return per_variable.groupBy("zone").agg(
-        *[
-            F.max(F.when(F.col("variable") == v, F.col(s))).alias(f"{v}_{s}")
-            for v, listed in stats.items()
-            for s in listed
-        ]
-    )
+    listed = [column(v, s).alias(f"{v}_{s}") for v in names for s in stats[v]]
+    return out.select(F.col("zone").alias(zone), *listed)
 
 
 def with_neighbours(stats: DataFrame, zone: str, names: list[str], near: Column) -> DataFrame:

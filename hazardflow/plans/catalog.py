@@ -27,7 +27,7 @@ from hazardflow.plans import flood as flood_plan
 from hazardflow.plans.fire import clean_fire, train_fire_job
 from hazardflow.plans.views import derive, table, view
 from hazardflow.sources import files, messages, schemas
-from hazardflow.streaming import landing, scoring
+from hazardflow.streaming import landing, rollups, runs, scoring
 
 # Stand-in fill of the queries that don't learn one.
 RAIN_FILL = 125.0
@@ -844,6 +844,48 @@ def windowed_mean_stream(spark, d):
     return done.withColumn("mean_value", F.round("mean_value", 10))
 
 
+BATCHES = 3
+
+
+def points_compacted(spark, d):
+    """Points that come in three batches, an identity in up to all of them: the last replaces the
+    others. The first two batches are compacted, the third is merged when read."""
+    digest = F.conv(F.substring(F.md5(F.col("reading_id").cast("binary")), 1, 4), 16, 10)
+    arriving = points_wide(spark, d).withColumns({"year": F.year("time"), "batch": digest.cast("int") % BATCHES})
+    store = runs.RunStore(
+        spark, files.scratch_dir(spark, "runs"), ["year", *P.identity(P.FLOOD_POINTS)], ["year", "measurement"],
+        runs.newest_wins(["reading_id"]),
+    )
+    store.write_batch(arriving, "batch")
+    store.compact(BATCHES - 2)
+    store.expire(BATCHES - 2)
+    return store.read().drop("year")
+
+
+def _point_files(spark, d, root: str, parts: range) -> None:
+    """Long points as files, a few points of every day in each."""
+    long = long_points(spark, d)
+    part = F.crc32(F.concat_ws("|", "location_id", F.col("time").cast("string")).cast("binary")) % LANDING_PARTS
+    for n in parts:
+        long.where(part == n).coalesce(1).write.mode("append").parquet(f"{root}/in")
+
+
+def windowed_mean_rollup(spark, d):
+    """Six-hour means from hourly partials of a stream, stopped and compacted half way; in each
+    batch come points of all days, so most of them are late."""
+    root = files.scratch_dir(spark, "rollups")
+    store = rollups.rollup_store(spark, f"{root}/store")
+    for parts in (range(LANDING_PARTS // 2), range(LANDING_PARTS // 2, LANDING_PARTS)):
+        _point_files(spark, d, root, parts)
+        points = messages.message_stream(
+            spark, "parquet", {"path": f"{root}/in"}, LANDING_PARTS // 2, long_points(spark, d).schema
+        )
+        _drain(scoring.run_scoring(points, rollups.rollup_sink(store), f"{root}/checkpoint", every=None))
+        store.compact(parts.stop // 2 - 1, least=1)
+    means = rollups.windowed(store, "6 hours", measurement=P.FLOOD_POINTS.measurement)
+    return means.select("location_id", "location_name", "time", F.round("mean_value", 10).alias("mean_value"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flood_pipeline": flood_pipeline,
     "null_profile": null_profile,
@@ -939,4 +981,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alerts_stream": alerts_stream,
     "score_fire_stream": score_fire_stream,
     "windowed_mean_stream": windowed_mean_stream,
+    "points_compacted": points_compacted,
+    "windowed_mean_rollup": windowed_mean_rollup,
 }

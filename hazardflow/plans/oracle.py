@@ -147,6 +147,19 @@ def _points_dedup() -> str:
     )
 
 
+def _points_compacted() -> str:
+    """The last of three batches that brought an identity has it; in a batch, the last reading."""
+    return (
+        _with(
+            **_point_parts(),
+            batched="select *, cast('0x' || substr(md5(reading_id), 1, 4) as int) % 3 as batch from points",
+            ranked="select *, row_number() over (partition by measurement, location_id,"
+            " alert_level, location_name, time order by batch desc, reading_id desc) as place from batched",
+        )
+        + "select * exclude (place, batch) from ranked where place = 1"
+    )
+
+
 def _from_long(select: str, **more: str) -> str:
     return _with(long=view_sql("points_long"), **more) + select
 
@@ -837,4 +850,9 @@ ORACLE: dict[str, str] = {
         " avg(value) as m from p group by 1, 2, 3",
     )
     + "select location_id, location_name, time, round(m, 10) as mean_value from w",
+    "points_compacted": _points_compacted(),
+    "windowed_mean_rollup": _from_long(
+        "select location_id, location_name, time, round(mean_value, 10) as mean_value from w",
+        w=WINDOWS,
+    ),
 }

@@ -150,6 +150,14 @@ def _replace(spark: SparkSession, new: str, path: str) -> None:
         store.delete(aside, True)
 
 
+def delete_folders(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders, wherever they are stored; those that are gone already are passed over."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+
+
 def export_csv(df: DataFrame, path: str, single: bool = False) -> None:
     """Headered CSV export. `single` forces one file and so one task: small data only."""
     out = df.coalesce(1) if single else df

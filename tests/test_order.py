@@ -8,7 +8,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from hazardflow.operators import order, zonal
+from hazardflow.operators import order, selection, zonal
 from hazardflow.operators.evaluate import auc
 
 SHAPES = {
@@ -86,11 +86,11 @@ def same(x, y):
     return x == y if x is None or y is None else math.isclose(x, y, rel_tol=1e-12)
 
 
-@pytest.mark.parametrize("size", [10, 300, 10**6])
-def test_zonal_stats(spark, size):
+@pytest.mark.parametrize("size,tracked", [(10, 6), (300, 60), (1024, 768)])
+def test_zonal_stats(spark, size, tracked):
     data = zone_rows()
     df = spark.createDataFrame(data, "zone int, a double, b double").repartition(5)
-    got = zonal.zonal_stats(df, "zone", {"A": "a", "B": "b"}, rows_per_range=size).collect()
+    got = zonal.zonal_stats(df, "zone", {"A": "a", "B": "b"}, size=size, tracked=tracked).collect()
     assert len(got) == len({row[0] for row in data})
     for row in got:
         for i, v in ((1, "A"), (2, "B")):
@@ -105,13 +105,72 @@ def test_zonal_totals_use_one_shuffle(spark):
     assert plan.executedPlan().toString().count("Exchange") == 1
 
 
-def test_the_number_of_ranges_changes_no_bit(spark, rows):
+def test_the_size_of_summaries_changes_no_bit(spark, rows):
     r = random.Random(5)
     data = [(r.randrange(3), r.random()) for _ in range(3000)] + [(7, -0.0), (7, 0.0), (7, -0.0)]
     df = spark.createDataFrame(data, "zone int, a double").repartition(6).cache()
-    one, many = (rows(zonal.zonal_stats(df, "zone", ["a"], rows_per_range=n)) for n in (10**6, 50))
+    wanted = ["median", "mode", "max", "min", "count"]
+    one, many = (rows(zonal.zonal_stats(df, "zone", ["a"], wanted, size=n, tracked=n)) for n in (4096, 8))
     assert one == many
-    assert str(one[-1][1:6]) == str((0.0, 0.0, 0.0, 0.0, 0.0))
+    assert str(one[-1][1:5]) == str((0.0, 0.0, 0.0, 0.0))
+
+
+def test_a_hot_zone_sends_summaries(spark, monkeypatch):
+    """A third of all cells in one zone, all values distinct: its cells are not shuffled, and its
+    median takes counts of a bracket."""
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 700).alias("zone"),
+        F.pmod(F.col("id") * 7919, F.lit(60_007)).cast("double").alias("v"),
+    )
+    met = []
+    meet = selection._meet
+    monkeypatch.setattr(selection, "_meet", lambda cells, wanted, names: met.append(wanted.count()) or meet(cells, wanted, names))
+    out = {r["zone"]: (r["v_median"], r["v_mode"], r["v_count"]) for r in zonal.zonal_stats(df, "zone", ["v"]).collect()}
+    cells = {}
+    for r in df.collect():
+        cells.setdefault(r["zone"], []).append(r["v"])
+    assert out == {z: (statistics.median(v), min(v), len(v)) for z, v in cells.items()}
+    assert met == [2, 1]
+    first = selection._aggregated(df, "zone", [selection._halves(F.col("v"), 1024).alias("q")], 1024)
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 1 and "partial_percentile_approx" in plan
+
+
+def test_medians_of_hard_shapes(spark):
+    """Small summaries, so that every step of the search runs; many ties, and values at the ends."""
+    r = random.Random(2)
+    shapes = {
+        1: [float(r.choice([1, 1, 1, 2])) for _ in range(2000)],
+        2: [r.random() for _ in range(3001)],
+        3: [1.0] * 1000 + [2.0] * 1000,
+        4: [r.choice([-1, 1]) * 10 ** r.uniform(-8, 12) for _ in range(2500)],
+        5: [float(i // 7) for i in range(4000)],
+        6: [7.5],
+        7: [float("inf")] * 600 + [float("-inf")] * 600 + [0.0],
+    }
+    df = spark.createDataFrame([(z, v) for z, values in shapes.items() for v in values], "zone int, v double").repartition(6)
+    for size in (8, 100):
+        got = {x["zone"]: (x["v_median"], x["v_mode"]) for x in zonal.zonal_stats(df, "zone", ["v"], ["median", "mode"], size=size, tracked=20).collect()}
+        for z, values in shapes.items():
+            assert got[z] == (statistics.median(values), min(set(values), key=lambda x: (-values.count(x), x))), (size, z)
+
+
+@pytest.mark.parametrize("tracked", [64, 768])
+def test_leaders_hold_the_mode(spark, tracked):
+    """Whatever the table took off, the mode and its ties are among the leaders, or none are told."""
+    r = random.Random(4)
+    told = 0
+    for share in (0.02, 0.1, 0.3, 0.6, 0.9):
+        values = [f"v{r.randrange(5000)}" if r.random() > share else "often" for _ in range(6000)] + ["b"] * 40 + ["a"] * 40
+        df = spark.createDataFrame([(v,) for v in values], "c string").repartition(5)
+        row = df.agg(F.count("c").alias("n"), selection.frequent("c", tracked).alias("t"))
+        row = row.select("*", selection.highest(F.col("t")).alias("best"))
+        near = row.select(selection.leaders(F.col("t"), F.col("best"), F.col("n"), tracked)).first()[0]
+        counts = {v: values.count(v) for v in set(values)}
+        if near is not None:
+            told += 1
+            assert {v for v, n in counts.items() if n == max(counts.values())} <= set(near)
+    assert told >= 1
 
 
 def test_several_neighbours_give_one_whole_row(spark, rows):

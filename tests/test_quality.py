@@ -141,3 +141,22 @@ def test_fills_work_on_dotted_names_and_large_numbers(spark):
 
 def test_drop_invalid_without_features(spark):
     assert Q.drop_invalid(spark.range(3), []).count() == 3
+
+
+def test_modes_by_leaders_equal_counts(spark):
+    """Ties, near ties, one frequent value among distinct ones, all distinct, and none at all."""
+    n = 4000
+    data = [
+        (f"id{i}", "often" if i % 3 == 0 else f"x{i}", "b" if i % 2 else "a", i % 5, i % 2 == 0, float(i % 900), None)
+        for i in range(n)
+    ]
+    df = spark.createDataFrame(data, "id string, rare string, tie string, num int, flag boolean, many double, none string").repartition(6)
+    for tracked in (8, 64, 768):
+        got = Q.column_modes(df, df.columns, tracked)
+        assert got == {"id": "id0", "rare": "often", "tie": "a", "num": 0, "flag": False, "many": 0.0}, tracked
+
+
+def test_one_frequent_value_ships_no_distinct_values(spark, monkeypatch):
+    df = spark.range(50_000).select(F.when(F.col("id") % 2 == 0, F.lit("same")).otherwise(F.col("id").cast("string")).alias("c"))
+    monkeypatch.setattr(Q, "_counted_modes", lambda *_: pytest.fail("values were counted"))
+    assert Q.column_modes(df, ["c"]) == {"c": "same"}
