@@ -27,7 +27,7 @@ from hazardflow.plans import flood as flood_plan
 from hazardflow.plans.fire import clean_fire, train_fire_job
 from hazardflow.plans.views import derive, table, view
 from hazardflow.sources import files, messages, schemas
-from hazardflow.streaming import landing, rollups, runs, scoring
+from hazardflow.streaming import landing, latest, rollups, runs, scoring
 
 # Stand-in fill of the queries that don't learn one.
 RAIN_FILL = 125.0
@@ -886,6 +886,22 @@ def windowed_mean_rollup(spark, d):
     return means.select("location_id", "location_name", "time", F.round("mean_value", 10).alias("mean_value"))
 
 
+MAP_SPLIT = "2024-01-15 00:00:00"
+
+
+def alert_map_stream(spark, d):
+    """The alert map of a stream that stops and starts again half way; locations without a point in
+    the last day (and the hour that points may be late) are not on it."""
+    root = files.scratch_dir(spark, "map")
+    long = long_points(spark, d)
+    for half in (F.col("time") < MAP_SPLIT, F.col("time") >= MAP_SPLIT):
+        long.where(half).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        points = messages.message_stream(spark, "parquet", {"path": f"{root}/in"}, schema=long.schema)
+        changes = latest.alert_map_stream(points, "1 day", "1 hour", P.FLOOD_POINTS.measurement)
+        _drain(landing.upsert_parquet(changes, f"{root}/out", f"{root}/checkpoint"))
+    return latest.map_now(files.read_layer(spark, f"{root}/out"), ["location_id"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flood_pipeline": flood_pipeline,
     "null_profile": null_profile,
@@ -981,6 +997,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alerts_stream": alerts_stream,
     "score_fire_stream": score_fire_stream,
     "windowed_mean_stream": windowed_mean_stream,
+    "alert_map_stream": alert_map_stream,
     "points_compacted": points_compacted,
     "windowed_mean_rollup": windowed_mean_rollup,
 }

@@ -643,6 +643,15 @@ def _alert_map(where: str) -> str:
     )
 
 
+# Points are at most an hour late, and a location is silent after a day.
+HEARD = (
+    "location_id in (select location_id from all_points"
+    " where field in ('latitude', 'longitude', 'alert_level_num') group by location_id"
+    " having max(time) >= (select max(time) from all_points"
+    " where field in ('latitude', 'longitude', 'alert_level_num'))"
+    " - interval '1 hour' - interval '1 day')"
+)
+
 ORACLE: dict[str, str] = {
     "flood_pipeline": _flood_pipeline(),
     "null_profile": _null_profile(),
@@ -850,6 +859,7 @@ ORACLE: dict[str, str] = {
         " avg(value) as m from p group by 1, 2, 3",
     )
     + "select location_id, location_name, time, round(m, 10) as mean_value from w",
+    "alert_map_stream": _alert_map(HEARD),
     "points_compacted": _points_compacted(),
     "windowed_mean_rollup": _from_long(
         "select location_id, location_name, time, round(mean_value, 10) as mean_value from w",
