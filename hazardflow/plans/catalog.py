@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +22,7 @@ from hazardflow.operators import points as P
 from hazardflow.operators import quality as Q
 from hazardflow.operators import reports as R
 from hazardflow.operators import split as S
+from hazardflow.operators import trees
 from hazardflow.operators.joins import enrich_location
 from hazardflow.operators.zonal import with_neighbours, zonal_stats
 from hazardflow.plans import flood as flood_plan
@@ -622,6 +624,56 @@ def importance_total(spark, d):
     return ranked.select("feature").join(F.broadcast(total), F.lit(True))
 
 
+def _saved_nodes(spark, fitted: M.Fitted) -> DataFrame:
+    path = files.scratch_dir(spark, "nodes")
+    M.save_model(fitted, path)
+    return trees.node_table(spark, path)
+
+
+def _replayed(spark, rows: DataFrame, key: str, fitted: M.Fitted) -> DataFrame:
+    """How many of a model's rows its saved nodes score otherwise; near ties may fall either way."""
+    scored_rows = M.score(rows, fitted).select(key, "features", F.col("prediction"), vector_to_array("probability").alias("p"))
+    walked = trees.replay(scored_rows, key, _saved_nodes(spark, fitted), fitted.params["maxDepth"])
+    both = scored_rows.drop("features").join(walked, key, "full")
+    apart = F.aggregate(F.zip_with("p", "probability", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda a, d: a + d)
+    top = F.sort_array("p", asc=False)
+    tied = top[0] - top[1] < 1e-9
+    same = (apart < 1e-9) & ((F.col("prediction") == F.col("predicted")) | tied)
+    return both.agg(F.count("*").alias("rows"), F.count_if(~F.coalesce(same, F.lit(False))).alias("differ"))
+
+
+def replay_flood(spark, d):
+    """The flood forest from its saved nodes, over all rows it was held out from."""
+    run = _flood_run(spark, d)
+    held_out = run.gold.where("part != 'train'")
+    return _replayed(spark, held_out.withColumn("row", F.monotonically_increasing_id()).transform(_stored), "row", run.fitted)
+
+
+def replay_fire(spark, d):
+    """The fire forest from its saved nodes, over all fires it can score."""
+    fitted, _, stored = _fire_run(spark, d)
+    rows = stored.select("polygon", *fitted.features).withColumnRenamed("polygon", "row")
+    return _replayed(spark, rows, "row", fitted).select((F.col("rows") > 0).alias("scored"), "differ")
+
+
+def _stored(df: DataFrame) -> DataFrame:
+    path = files.scratch_dir(df.sparkSession, "rows")
+    files.write_layer(df, path)
+    return files.read_layer(df.sparkSession, path)
+
+
+def importance_ranks(spark, d):
+    """Ranks of the flood features by the model, and by its saved nodes: where they differ."""
+    run = _flood_run(spark, d)
+    ours = trees.node_importance(_saved_nodes(spark, run.fitted), run.fitted.features)
+    both = M.importance(run.fitted, spark).alias("m").join(ours.alias("n"), F.col("m.feature") == F.col("n.feature"))
+    far = F.abs(F.col("m.importance") - F.col("n.importance")) > 1e-9
+    return both.agg(
+        F.count("*").alias("features"), F.countDistinct("m.rank").alias("ranks"),
+        F.count_if(far | ((F.col("m.rank") != F.col("n.rank")) & (F.col("m.importance") > 0))).alias("differ"),
+    )
+
+
 # --- files ------------------------------------------------------------------------------------
 
 
@@ -805,6 +857,29 @@ def rate_limited_stream(spark, d):
     )
 
 
+def triggered_stream(spark, d):
+    """Parts of the readings, one per trigger of a stream that starts a batch every two seconds:
+    rows that came, batches with rows, and batches that began before their time, by
+    the query's own progress."""
+    root = files.scratch_dir(spark, "triggered")
+    _reading_files(spark, d, root, range(LANDING_PARTS))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
+
+    query = scoring.run_scoring(_limited_stream(spark, root, 1), write, f"{root}/checkpoint", every="2 seconds")
+    try:
+        query.processAllAvailable()
+        seen = [(p["timestamp"], p["batchId"]) for p in query.recentProgress if p["numInputRows"]]
+    finally:
+        query.stop()
+    began = spark.createDataFrame(seen, "began string, batch bigint").select(F.unix_millis(F.col("began").cast("timestamp")).alias("began"))
+    # the clock is cut into stretches of two seconds, and in each at most one batch begins
+    timing = began.agg((F.count("*") - F.countDistinct(F.floor(F.col("began") / 2000))).alias("early"))
+    counted = files.read_layer(spark, f"{root}/out").agg(F.count("*").alias("rows"), F.countDistinct("batch_id").alias("batches"))
+    return counted.join(F.broadcast(timing), F.lit(True))
+
+
 def restarted_stream(spark, d):
     """Half of the files, a stop, the other half, and a start from the same progress."""
     root = files.scratch_dir(spark, "restarted")
@@ -984,6 +1059,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fire_training_rows": fire_training_rows,
     "importance": importance,
     "importance_total": importance_total,
+    "replay_flood": replay_flood,
+    "replay_fire": replay_fire,
+    "importance_ranks": importance_ranks,
     "layer_round_trip": layer_round_trip,
     "gold_csv": gold_csv,
     "csv_by_name": csv_by_name,
@@ -993,6 +1071,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "score_flood_stream": score_flood_stream,
     "points_identity_stream": points_identity_stream,
     "rate_limited_stream": rate_limited_stream,
+    "triggered_stream": triggered_stream,
     "restarted_stream": restarted_stream,
     "alerts_stream": alerts_stream,
     "score_fire_stream": score_fire_stream,

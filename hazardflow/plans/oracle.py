@@ -828,6 +828,11 @@ ORACLE: dict[str, str] = {
     "importance_total": " union all ".join(
         f"select '{f}' as feature, 1.0::double as total" for f in MODEL_FEATURES
     ),
+    "replay_flood": _with(readings=view_sql("readings"), placed=f"select {_position()} as p from readings")
+    + f"select count(*) as rows, cast(0 as bigint) as differ from placed where {PART.format(p='p')} != 'train'",
+    "replay_fire": "select true as scored, cast(0 as bigint) as differ",
+    "importance_ranks": f"select cast({len(MODEL_FEATURES)} as bigint) as features,"
+    f" cast({len(MODEL_FEATURES)} as bigint) as ranks, cast(0 as bigint) as differ",
     "csv_by_name": _ml_dataset(),
     "csv_unparsed": _with(t=view_sql("dirty_frp"))
     + "select 'fire_id' as \"column\", cast(0 as bigint) as unparsed union all select 'frp',"
@@ -847,6 +852,8 @@ ORACLE: dict[str, str] = {
     "rate_limited_stream": _with(readings=view_sql("readings"))
     + f"select {MESSAGE_PART} as part, count(*) as rows, cast(1 as bigint) as batches,"
     " cast(1 as bigint) as stamps from readings group by 1",
+    "triggered_stream": _with(readings=view_sql("readings"))
+    + "select count(*) as rows, cast(4 as bigint) as batches, cast(0 as bigint) as early from readings",
     "restarted_stream": _with(readings=view_sql("readings"))
     + f"select reading_id, {MESSAGE_PART} as part from readings",
     "alerts_stream": _from_scored(HIGH),
