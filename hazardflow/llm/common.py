@@ -9,6 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazardflow.sources.files import delete_folders
+
 # The bytes that end a word, and the sentence enders.
 SPACE = b" \t\n\x0b\x0c\r"
 
@@ -33,7 +35,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
 
 
 def stored_by(df: DataFrame, column: str, label: str) -> DataFrame:
@@ -45,7 +49,19 @@ def stored_by(df: DataFrame, column: str, label: str) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = df.write.format("parquet").option("compression", "zstd").option("path", path)
     writer.bucketBy(parts, column).saveAsTable(name)
-    return spark.table(name)
+    out = spark.table(name)
+    out.stored_at, out.stored_as = path, name
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what `stored` or `stored_by` wrote, once nothing reads it any more. Other DataFrames,
+    such as selections of a stored one, are left alone."""
+    for df in tables:
+        if path := getattr(df, "stored_at", None):
+            if name := getattr(df, "stored_as", None):
+                df.sparkSession.sql(f"drop table if exists {name}")
+            delete_folders(df.sparkSession, [path])
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
