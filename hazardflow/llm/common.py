@@ -64,6 +64,13 @@ def discard(*tables: DataFrame) -> None:
             delete_folders(df.sparkSession, [path])
 
 
+def by_number(docs: DataFrame, *wanted: str) -> tuple[DataFrame, list[str]]:
+    """The rows with columns c0, c1, ..., and the new names of the wanted ones: no name that a stage
+    makes up can then meet one of the input's."""
+    names = docs.columns
+    return docs.toDF(*[f"c{i}" for i in range(len(names))]), [f"c{names.index(w)}" for w in wanted]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hazardflow.llm.common import stored
+from hazardflow.llm.common import by_number, stored
 
 WEIGHTS = (3.0, 1.0, 2.0)
 WORD = r"[^\x20\x09-\x0D]+"
@@ -219,14 +219,17 @@ def mix_plan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
 def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source",
         seed: int = 17, **options) -> DataFrame:
     """The mixed rows themselves: each input row, with all its columns, as often as `mix_plan`
-    says; rows with no copy go. A document may so appear twice. Same cases as `mix_plan`."""
+    says; rows with no copy go. A document may so appear twice. Same cases as `mix_plan`. Columns of any
+    name are kept."""
+    names = docs.columns
+    docs, (id_column, text_column, source_column) = by_number(docs, id_column, text_column, source_column)
     plan = mix_plan(docs, id_column, text_column, source_column, seed=seed, **options)
     taken = stored(plan.where("copies > 0").select("key", F.col("copies").alias("_copies")).distinct(), "copies")
     key = F.xxhash64(F.lit(seed), F.col(id_column), F.col(text_column))
-    columns = [F.col("d.`" + c.replace("`", "``") + "`") for c in docs.columns]
+    columns = [F.col(f"d.{c}") for c in docs.columns]
     keyed = docs.withColumn("_mix_key", key).alias("d")
     return (
         keyed.join(taken.alias("t"), F.col("d._mix_key") == F.col("t.key"))
         .select(*columns, F.explode(F.sequence(F.lit(1), F.col("t._copies"))).alias("_mix_copy"))
-        .drop("_mix_copy")
+        .drop("_mix_copy").toDF(*names)
     )

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardflow.llm.common import active_buckets, linked_buckets, stored
+from hazardflow.llm.common import active_buckets, by_number, linked_buckets, stored
 from hazardflow.llm.hashing import scramble, words
 
 BANDS, ROWS = 32, 4
@@ -191,7 +191,10 @@ def near_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
 
 def keep_one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
     """The input rows, all columns kept, without the documents that `near_dedup` drops. An id goes
-    only if no row with it is kept; rows with a null id stay."""
+    only if no row with it is kept; rows with a null id stay. Null and blank texts are like no other
+    and stay. An empty table gives no rows. Columns of any name are kept."""
+    names = docs.columns
+    docs, (id_column, text_column) = by_number(docs, id_column, text_column)
     decided = near_dedup(docs, id_column, text_column, **options)
     gone = decided.groupBy(F.col("doc_id").alias("_gone_id")).agg(F.max("kept").alias("_kept")).where("not _kept").select("_gone_id")
-    return docs.join(gone, F.col(f"`{id_column}`") == F.col("_gone_id"), "left_anti")
+    return docs.join(gone, F.col(id_column) == F.col("_gone_id"), "left_anti").toDF(*names)
