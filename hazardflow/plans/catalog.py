@@ -900,6 +900,27 @@ def alerts_stream(spark, d):
     )
 
 
+def alerts_once_stream(spark, d):
+    """Messages that carry their own time, each sent twice and all of them again after a restart: one
+    alert for each location and time."""
+    root = files.scratch_dir(spark, "alerts-once")
+    rows = readings(spark, d)
+    sent = F.to_json(F.struct(
+        *[c for c in rows.columns if c not in ("reading_id", "processing_time", "flood_occurred", "river_discharge", "infrastructure")],
+        F.col("river_discharge").alias("river_discharge_m3s"),
+        F.date_format("processing_time", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+    )).alias("value")
+    twice = rows.select(sent).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    for _ in range(2):
+        twice.coalesce(1).write.mode("append").parquet(f"{root}/in")
+        messages_in = messages.message_stream(spark, "parquet", {"path": f"{root}/in"}, schema=twice.schema)
+        scored_rows = scoring.score_flood_stream(messages_in, risk_scorer, {"rainfall_mm": RAIN_FILL})
+        _drain(scoring.alerts_once_stream(scored_rows, f"{root}/out", f"{root}/checkpoint", every=None))
+    return files.read_layer(spark, f"{root}/out").groupBy("location_id", F.col("timestamp").alias("event")).agg(
+        F.count("*").alias("alerts")
+    )
+
+
 def score_fire_stream(spark, d):
     root = files.scratch_dir(spark, "fire-stream")
     rows = scoring.score_fire_stream(fire_messages(spark, d), fire_risk_scorer)
@@ -1074,6 +1095,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "triggered_stream": triggered_stream,
     "restarted_stream": restarted_stream,
     "alerts_stream": alerts_stream,
+    "alerts_once_stream": alerts_once_stream,
     "score_fire_stream": score_fire_stream,
     "windowed_mean_stream": windowed_mean_stream,
     "alert_map_stream": alert_map_stream,

@@ -857,6 +857,10 @@ ORACLE: dict[str, str] = {
     "restarted_stream": _with(readings=view_sql("readings"))
     + f"select reading_id, {MESSAGE_PART} as part from readings",
     "alerts_stream": _from_scored(HIGH),
+    "alerts_once_stream": _from_scored(
+        "select distinct location_id, strftime(processing_time, '%Y-%m-%d %H:%M:%S') as event,"
+        " cast(1 as bigint) as alerts from scored where alert_level in ('CRITICAL', 'HIGH')"
+    ),
     "score_fire_stream": _fire_stream(),
     "windowed_mean_stream": _with(
         long=view_sql("points_long"),

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import Transformer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hazardflow.functions.alerts import fire_alert, flood_alert, high_alerts, prob_of
+from hazardflow.functions.casts import quoted
 from hazardflow.functions.fire import fire_features
 from hazardflow.functions.flood import flood_features
 from hazardflow.operators.columns import align_features, computed_once
@@ -25,6 +26,7 @@ from hazardflow.operators.points import (
 )
 from hazardflow.sources.messages import decode
 from hazardflow.sources.schemas import FIRE_ZERO_FILL, fire_message_schema, flood_message_schema
+from hazardflow.streaming.landing import append_parquet
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -165,3 +167,37 @@ def alerts_stream(
         .trigger(**trigger)
         .start()
     )
+
+
+def event_time(name: str = "timestamp") -> Column:
+    """The instant that a message's own time text tells, as UTC; null where it tells none."""
+    wall = F.try_to_timestamp(F.concat(quoted(name), F.lit("+00:00")), F.lit("yyyy-MM-dd HH:mm:ssXXX"))
+    return F.coalesce(wall, F.try_to_timestamp(F.concat(quoted(name), F.lit("+00:00")), F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")))
+
+
+def one_alert_per_event(
+    scored: DataFrame, keys: tuple[str, ...] = ("location_id", "timestamp"), lateness: str = "1 hour"
+) -> DataFrame:
+    """Urgent rows of a scored stream, each event once however often its message is sent.
+
+    An event is its `keys`; its time is the message's own, or the processing time where that cannot be
+    read. A message sent again within `lateness` of the newest event gives no second alert. One that
+    comes later than that gives none at all, sent before or not: what to do with it then cannot be
+    told from state that has been given up, and its point is stored by its identity all the same.
+    Only urgent rows enter the state, and they leave it with the watermark.
+    """
+    urgent = high_alerts(scored)
+    timed = urgent.withColumn("event_time", F.coalesce(event_time(), F.col("processing_time").cast("timestamp")))
+    return timed.withWatermark("event_time", lateness).dropDuplicatesWithinWatermark(list(keys))
+
+
+def alerts_once_stream(
+    scored: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = "15 seconds",
+    keys: tuple[str, ...] = ("location_id", "timestamp"),
+    lateness: str = "1 hour",
+) -> StreamingQuery:
+    """Append one alert per event to a table of their own."""
+    return append_parquet(one_alert_per_event(scored, keys, lateness), path, checkpoint, every)
