@@ -142,3 +142,24 @@ def test_top_k_needs_no_full_sort(spark):
 def test_overview_of_nothing(spark):
     empty = spark.createDataFrame([], "prediction int")
     assert tuple(R.prediction_overview(empty).first()) == (0, 0, 0, None, None)
+
+
+def test_all_parts_at_once_equal_each_apart(spark):
+    r = random.Random(12)
+    rows = []
+    for part in ("validation", "test", "one class", None):
+        for _ in range(400):
+            label = 1 if part == "one class" else r.choice([0, 1, 1, None])
+            rows.append((part, label, float(r.choice([0, 1])), r.choice([None, round(r.random(), 2), r.random()])))
+    df = spark.createDataFrame(rows, "part string, y int, prediction double, p double").repartition(5)
+    got = {}
+    for row in E.evaluate_parts(df, "y", "p", rows_per_range=60).collect():
+        got.setdefault(row["part"], {})[row["metric"]] = row["value"]
+    for part in ("validation", "test", "one class"):
+        own = df.where(F.col("part") == part)
+        want = E.classification_metrics(own, "y").first().asDict() | {"auc": E.auc(own, "p", "y").first()["auc"]}
+        assert got[part].keys() == want.keys()
+        for name, value in want.items():
+            assert got[part][name] == (value if value is None else pytest.approx(value, abs=1e-12)), (part, name)
+    assert set(got) == {"validation", "test", "one class", None}
+    assert E.evaluate_parts(df, "y").where("metric = 'auc'").count() == 0
