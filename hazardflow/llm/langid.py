@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +16,8 @@ from hazardflow.llm.common import remainder
 WINDOW, WIDTHS, FILTERS, EMBED = 256, (2, 3, 4), 16, 8
 #: Most training documents per language, and windows per document: the bound of the fit's sample.
 PER_LANGUAGE, PER_DOCUMENT = 1500, 2
-_LETTER = re.compile(r"[^\W\d_]")
+# numeric signs such as fractions and Roman numerals are no letters
+_LETTER = regex.compile(r"\p{L}")
 # lower-case letters and all bytes over 127 as they are, the rest as a blank
 _FOLD = np.array([b if b > 127 or 97 <= b <= 122 else 32 for b in range(256)], np.uint8)
 
@@ -146,7 +147,9 @@ def fit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", l
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
         return None
-    draw = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1_000_000))
+    # rows without an id are drawn by their text, each on its own
+    own = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    draw = F.pmod(F.xxhash64(F.lit(11), "doc_id", own), F.lit(1_000_000))
     rate = F.lit(0)
     for lang, n in counts.items():
         rate = F.when(F.col("lang") == lang, min(1_000_000, -(-PER_LANGUAGE * 1_000_000 // n))).otherwise(rate)

@@ -303,8 +303,10 @@ def nearest(vectors: DataFrame, id_column: str = "vec_id", vector_column: str =
 
     Null, empty and zero vectors, vectors holding null or non-finite components, and rows with a
     null id take no part; nor do vectors of another length than the most common one (ties: the
-    shorter). A doubled id counts as two rows; neither is an answer to itself. With fewer
-    candidates than `count`, all are given. Empty input gives no rows.
+    shorter). A doubled id counts as two rows: both may be answers, under the same id, and each is
+    asked for, giving two lists; rows of a query's own id are no answers to it. Rows repeated with id
+    and vector are asked for once. With fewer candidates than `count`, all are given. Empty input gives
+    no rows.
     """
     rows = vectors.select(F.col(id_column).alias("id"), F.col(vector_column).alias("vector"))
     rows = stored(rows.mapInArrow(_valid, "id bigint, size int, exact binary, q binary"), "vectors")
@@ -315,17 +317,15 @@ def nearest(vectors: DataFrame, id_column: str = "vec_id", vector_column: str =
     members = stored(
         rows.select("d1", "d2", "id").withColumn("place", F.row_number().over(place)).where(F.col("place") <= count + 1), "members"
     )
-    heads = members.where("place = 1").select("d1", "d2", F.col("id").alias("node"))
+    # nodes and queries have numbers of their own: an id may stand for several vectors
+    heads = stored(members.where("place = 1").select("d1", "d2", "id", F.monotonically_increasing_id().alias("node")), "heads")
     nodes = stored(
-        rows.join(heads.select(F.col("node").alias("id"), "d1", "d2"), ["id", "d1", "d2"]).select("id", "q", "exact").dropDuplicates(["id"]),
-        "nodes",
+        rows.join(heads, ["id", "d1", "d2"]).select(F.col("node").alias("id"), "q", "exact").dropDuplicates(["id"]), "nodes"
     )
+    heads = heads.drop("id")
     links = stored(adjacency(nn_descent(nodes, size, **graph), nodes), "links")
-    asked = stored(
-        rows.where(F.col("id") % every == 0).join(heads, ["d1", "d2"]).select(F.col("id").alias("query"), "q", "exact", "node")
-        .dropDuplicates(["query"]),
-        "asked",
-    )
+    asked = rows.where(F.col("id") % every == 0).dropDuplicates(["id", "d1", "d2"]).join(heads, ["d1", "d2"])
+    asked = stored(asked.select(F.monotonically_increasing_id().alias("query"), F.col("id").alias("query_id"), "q", "exact", "node"), "asked")
     found = greedy_search(links, asked.select("query", "q", "node"), beam, width)
     scored = (
         found.select("query", "node").join(nodes.select(F.col("id").alias("node"), F.col("exact").alias("other")), "node")
@@ -335,6 +335,7 @@ def nearest(vectors: DataFrame, id_column: str = "vec_id", vector_column: str =
     owner = members.join(heads, ["d1", "d2"]).select("node", F.col("id").alias("vec_id"))
     order = Window.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     return (
-        scored.join(owner, "node").where("vec_id != query").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count)
-        .select(F.col("query").alias("query_id"), "rank", "vec_id", "score")
+        scored.join(owner, "node").join(asked.select("query", "query_id"), "query").where("vec_id != query_id")
+        .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count)
+        .select("query_id", "rank", "vec_id", "score")
     )

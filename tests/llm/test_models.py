@@ -32,6 +32,14 @@ def test_language_held_out(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_numeric_signs_are_no_letters(spark):
+    rows = [(i, ("der die und nicht " if i % 2 else "the and with that ") * 20, "de" if i % 2 else "en") for i in range(20)]
+    rows += [(100, "½ ²", "en"), (101, "Ⅷ ① 12", "en"), (102, "ж ½", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(df).collect()}
+    assert got[100] == got[101] == "und" and got[102] != "und"
+
+
 def test_language_cases(spark):
     rows = [(i, ("der die und nicht " if i % 2 else "the and with that ") * 40, "de" if i % 2 else "en", "s") for i in range(60)]
     rows += [(100, None, "de", "s"), (101, "", "en", "s"), (102, "123 ... \n", "en", "s"), (None, "the and with " * 9, None, None), (104, "und der nicht " * 9000, None, "s")]

@@ -78,3 +78,13 @@ def test_dense_groups(spark):
     for low, high in groups.values():
         of = [q for q in want if low <= q < high]
         assert sum(len(got[q] & {v for v, _ in want[q]}) for q in of) >= 0.9 * 5 * len(of), (low, high)
+
+
+def test_one_id_for_several_vectors(spark):
+    rows = [(50, [1.0, 0.0, 0.0]), (50, [0.0, 1.0, 0.0]), (100, [0.0, 0.95, 0.05]), (3, [0.0, 0.0, 1.0]), (50, [1.0, 0.0, 0.0])]
+    out = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    of_100 = [(r["vec_id"], round(r["score"], 4)) for r in sorted(out, key=lambda r: r["rank"]) if r["query_id"] == 100]
+    assert of_100 == [(50, 0.9986), (3, 0.0526), (50, 0.0), (50, 0.0)]
+    # the two vectors of id 50 are asked for apart, and their own id is no answer
+    lists = [(r["rank"], r["vec_id"]) for r in out if r["query_id"] == 50]
+    assert sorted(lists) == [(1, 3), (1, 100), (2, 3), (2, 100)]
