@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,12 +30,30 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+#: Spark's setting by which a query's shuffle files go when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_end(spark: SparkSession):
+    """Within it, what a write has shuffled is deleted when the write ends: its result is stored, so
+    nothing reads those files again. Else they stay until the driver happens to collect garbage. The
+    session's own setting is put back."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows written once to the shared folder and read back: lineage ends here, a lost
     executor loses nothing, and the next plan knows the size."""
     spark = df.sparkSession
     path = shared_path(spark, label)
-    df.write.parquet(path)
+    with shuffles_end(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out
@@ -48,7 +67,8 @@ def stored_by(df: DataFrame, column: str, label: str) -> DataFrame:
     name = f"hazardflow_{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     writer = df.write.format("parquet").option("compression", "zstd").option("path", path)
-    writer.bucketBy(parts, column).saveAsTable(name)
+    with shuffles_end(spark):
+        writer.bucketBy(parts, column).saveAsTable(name)
     out = spark.table(name)
     out.stored_at, out.stored_as = path, name
     return out

@@ -252,3 +252,18 @@ def test_short_lines_are_linked(spark):
     missed = line_components(spark.createDataFrame(rows, "doc_id long, text string")).where("copies = 1")
     counts = {r["kind"]: r["count"] / 2 for r in missed.groupBy(F.floor(F.col("doc_id") / 10_000).alias("kind")).count().collect()}
     assert all(n <= 0.006 * 2000 for n in counts.values()), counts
+
+
+def test_stored_tables_go_when_discarded(spark):
+    import os
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    made = common.stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "x")
+    table = common.stored_by(made, "k", "y")
+    assert spark.conf.get(key) == before and table.count() == made.count() == 7
+    names = {r["tableName"] for r in spark.sql("show tables").collect()}
+    common.discard(made, table, made.select("k"))
+    left = {r["tableName"] for r in spark.sql("show tables").collect()}
+    assert names - left == {table.stored_as}
+    assert not any(os.path.exists(df.stored_at.removeprefix("file:")) for df in (made, table))
