@@ -112,12 +112,19 @@ def exact_quantiles(
     if not columns:
         return {}
     df = df.select(*[quoted(c) for c in columns])
+    if skip_whole:
+        # a pass of plain counts is cheap beside a sketch of each column
+        present = df.agg(
+            F.count(F.lit(1)).alias("rows"),
+            *[F.count(known(c)).alias(f"n{i}") for i, c in enumerate(columns)],
+        ).first()
+        holed = [c for i, c in enumerate(columns) if present[f"n{i}"] < present["rows"]]
+        return dict.fromkeys(columns) | exact_quantiles(df, holed, q, finish_rows)
     searches = [
         _Search(c, isinstance(df.schema[c].dataType, (T.IntegralType, T.DecimalType)))
         for c in columns
     ]
     row = df.agg(
-        F.count(F.lit(1)).alias("rows"),
         *[F.count(s.value()).alias(f"n{i}") for i, s in enumerate(searches)],
         *[s.bracket(q).alias(f"b{i}") for i, s in enumerate(searches)],
     ).first()
@@ -125,7 +132,7 @@ def exact_quantiles(
     for i, s in enumerate(searches):
         s.rows = row[f"n{i}"]
         s.rank = max(1, math.ceil(q * s.rows))
-        s.done = s.rows == 0 or (skip_whole and s.rows == row["rows"])
+        s.done = s.rows == 0
         brackets[s.column] = row[f"b{i}"]
 
     while todo := [s for s in searches if not s.done]:

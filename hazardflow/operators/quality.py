@@ -248,8 +248,8 @@ def impute(
 ) -> DataFrame:
     """Fit on the whole table and fill it.
 
-    Exact medians of columns without missing values are not searched for: the pass that sketches
-    all columns also counts what is missing. An exact median so takes two or three reads.
+    Exact medians of columns without missing values are not searched for: a pass of plain counts
+    comes first. An exact median takes two or three more reads, of its column alone.
     """
     return apply_imputer(df, fit_imputer(df, strategies, relative_error, skip_whole=True))
 

@@ -74,9 +74,23 @@ class RunStore:
             rows = self.merge(rows.withColumns({"sealed": F.lit(0), "run": F.lit(batch_id).cast("bigint")}), self.keys)
         self._write(rows)
 
-    def sink(self, shape: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-        """A `foreachBatch` function: `shape` makes rows of the store from a micro-batch."""
-        return lambda batch, batch_id: self.write_batch(shape(batch), int(batch_id))
+    def sink(
+        self, shape: Callable[[DataFrame], DataFrame], compact_every: int | None = None, keep: int = 240
+    ) -> Callable[[DataFrame, int], None]:
+        """A `foreachBatch` function: `shape` makes rows of the store from a micro-batch.
+
+        With `compact_every`, each so many batches merge the runs of all earlier ones, and runs
+        replaced by then go when they are `keep` batches old. The batch at hand may still be
+        written again and is left out.
+        """
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            self.write_batch(shape(batch), int(batch_id))
+            if compact_every and batch_id and batch_id % compact_every == 0:
+                self.compact(batch_id - 1)
+                self.expire(batch_id - keep)
+
+        return write
 
     # --- reading
 

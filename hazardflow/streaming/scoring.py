@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import Transformer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,6 +19,7 @@ from hazardflow.operators.joins import enrich_location, location_lookup
 from hazardflow.operators.points import (
     FIRE_POINTS,
     FLOOD_POINTS,
+    PointSpec,
     dedup_points,
     identity,
     to_points,
@@ -27,6 +28,7 @@ from hazardflow.operators.points import (
 from hazardflow.sources.messages import decode
 from hazardflow.sources.schemas import FIRE_ZERO_FILL, fire_message_schema, flood_message_schema
 from hazardflow.streaming.landing import append_parquet
+from hazardflow.streaming.runs import RunStore, newest_wins
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -136,6 +138,20 @@ def fire_sink(points_root: str) -> Callable:
     return parquet_sink(points_root, None, fire_points_shape(), identity(FIRE_POINTS))
 
 
+def point_store(spark: SparkSession, root: str, spec: PointSpec) -> RunStore:
+    """Store of a measurement's points by day: one point per identity over all batches, the newest
+    batch's, in few files after compaction."""
+    return RunStore(spark, root, ["date", *identity(spec)], ["date", "measurement"], newest_wins())
+
+
+def store_sink(
+    store: RunStore, shape: Scorer, compact_every: int | None = 240, keep: int = 240
+) -> Callable[[DataFrame, int], None]:
+    """Sink that keeps points in a `point_store` and compacts it on the way: at 15 seconds a batch,
+    by the hour. `shape` turns scored rows into points."""
+    return store.sink(lambda batch: shape(batch).withColumn("date", F.to_date("time")), compact_every, keep)
+
+
 def run_scoring(
     scored: DataFrame,
     sink: Callable[[DataFrame, int], None],

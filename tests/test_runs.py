@@ -6,9 +6,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from hazardflow.operators.points import series_legend, windowed_mean
+from hazardflow.operators.points import PointSpec, series_legend, to_points, windowed_mean
 from hazardflow.streaming import rollups
 from hazardflow.streaming.runs import RunStore, newest_wins
+from hazardflow.streaming.scoring import point_store, store_sink
 
 SCHEMA = "date date, measurement string, location string, time timestamp_ntz, value double"
 DAYS = [dt.date(2024, 1, d) for d in (1, 2)]
@@ -158,3 +159,20 @@ def test_a_window_reads_its_level_and_periods_only(rolled):
     assert times and min(times) > dt.datetime(2024, 3, 2, 6) and max(times) <= dt.datetime(2024, 3, 2, 12)
     with pytest.raises(ValueError):
         rollups.level_of("90 seconds")
+
+
+def test_a_sink_keeps_its_store_compact(spark, tmp_path):
+    """The flood job's points over many batches that tell the same places again."""
+    spec = PointSpec("flood_prediction", ["location_id", "alert_level"], ["prediction"], {"probability": "prob"}, time="at")
+    store = point_store(spark, str(tmp_path), spec)
+    write = store_sink(store, lambda rows: to_points(rows, spec), compact_every=3, keep=2)
+    at = dt.datetime(2024, 7, 1, 12)
+    for b in range(8):
+        rows = [(f"L{i}", "HIGH", 1, b / 10, at + dt.timedelta(seconds=0 if i < 2 else b)) for i in range(3)]
+        write(spark.createDataFrame(rows, "location_id string, alert_level string, prediction int, prob double, at timestamp_ntz"), b)
+    points = store.read().collect()
+    # two places are told under one time, the third under eight
+    assert len(points) == 10 and {r["probability"] for r in points if r["location_id"] != "L2"} == {0.7}
+    runs = sorted((r["sealed"], r["run"], r["live"]) for r in store.runs().collect())
+    assert [r for r in runs if r[2]] == [(0, 6, True), (0, 7, True), (1, 5, True)]
+    assert all(r[1] >= 4 for r in runs)
