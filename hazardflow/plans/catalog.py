@@ -6,6 +6,8 @@ there is one, is in `oracle.py` under the same name.
 
 from __future__ import annotations
 
+import math
+import uuid
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -820,14 +822,32 @@ def points_identity_stream(spark, d):
 LANDING_PARTS = 4
 
 
-def _reading_files(spark, d, root: str, parts: range) -> None:
-    """Readings as message files, one file for each part of the order keys."""
+# Messages of a file at most; a part has more files when it has more rows.
+ROWS_PER_FILE = 250_000
+
+
+def _files_per_part(spark, d) -> int:
+    """Files for each part of the readings, by the rows that the files' footers tell."""
+    return max(1, math.ceil(view(spark, d, "readings").count() / (LANDING_PARTS * ROWS_PER_FILE)))
+
+
+def _reading_files(spark, d, root: str, parts: range, files_each: int) -> None:
+    """Readings as message files, `files_each` files for each part of the order keys."""
     rows = view(spark, d, "readings").select(
         "reading_id", (F.conv(F.substring(F.md5(F.col("reading_id").cast("binary")), 1, 4), 16, 10).cast("int") % LANDING_PARTS).alias("part")
     )
     body = F.to_json(F.struct(F.col("reading_id").alias("timestamp"), "part")).alias("value")
     for n in parts:
-        rows.where(F.col("part") == n).select(body).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        _write_files(rows.where(F.col("part") == n).select(body), f"{root}/in", files_each)
+
+
+def _write_files(df: DataFrame, path: str, number: int) -> None:
+    """Append exactly so many files, all tasks writing. A writer leaves out a file without rows, but
+    a rate limit counts files, so empty ones make up the number."""
+    out = f"{path}/{uuid.uuid4().hex}"
+    df.repartition(number).write.parquet(out)
+    for _ in range(number - len(df.sparkSession.read.parquet(out).inputFiles())):
+        df.limit(0).coalesce(1).write.mode("append").parquet(out)
 
 
 def _landed(spark, root: str, query_rows: DataFrame) -> None:
@@ -839,16 +859,17 @@ def _landed(spark, root: str, query_rows: DataFrame) -> None:
 
 def _limited_stream(spark, root: str, limit: int) -> DataFrame:
     value = T.StructType([T.StructField("value", T.StringType())])
-    raw = messages.message_stream(spark, "parquet", {"path": f"{root}/in"}, limit, value)
+    raw = messages.message_stream(spark, "parquet", {"path": f"{root}/in/*"}, limit, value)
     fields = T.StructType([T.StructField("timestamp", T.StringType()), T.StructField("part", T.IntegerType())])
     return messages.decode(raw, fields, stamp=True)
 
 
 def rate_limited_stream(spark, d):
-    """One file per trigger: each part is a batch of its own, under one processing time."""
+    """The files of one part per trigger: each part is a batch of its own, under one processing time."""
     root = files.scratch_dir(spark, "limited")
-    _reading_files(spark, d, root, range(LANDING_PARTS))
-    _landed(spark, root, _limited_stream(spark, root, 1))
+    each = _files_per_part(spark, d)
+    _reading_files(spark, d, root, range(LANDING_PARTS), each)
+    _landed(spark, root, _limited_stream(spark, root, each))
     return files.read_layer(spark, f"{root}/out").groupBy("part").agg(
         F.count(F.lit(1)).alias("rows"),
         F.countDistinct("batch_id").alias("batches"),
@@ -861,12 +882,13 @@ def triggered_stream(spark, d):
     rows that came, batches with rows, and batches that began before their time, by
     the query's own progress."""
     root = files.scratch_dir(spark, "triggered")
-    _reading_files(spark, d, root, range(LANDING_PARTS))
+    each = _files_per_part(spark, d)
+    _reading_files(spark, d, root, range(LANDING_PARTS), each)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
 
-    query = scoring.run_scoring(_limited_stream(spark, root, 1), write, f"{root}/checkpoint", every="2 seconds")
+    query = scoring.run_scoring(_limited_stream(spark, root, each), write, f"{root}/checkpoint", every="2 seconds")
     try:
         query.processAllAvailable()
         seen = [(p["timestamp"], p["batchId"]) for p in query.recentProgress if p["numInputRows"]]
@@ -882,9 +904,10 @@ def triggered_stream(spark, d):
 def restarted_stream(spark, d):
     """Half of the files, a stop, the other half, and a start from the same progress."""
     root = files.scratch_dir(spark, "restarted")
+    each = _files_per_part(spark, d)
     for parts in (range(LANDING_PARTS // 2), range(LANDING_PARTS // 2, LANDING_PARTS)):
-        _reading_files(spark, d, root, parts)
-        _landed(spark, root, _limited_stream(spark, root, 2))
+        _reading_files(spark, d, root, parts, each)
+        _landed(spark, root, _limited_stream(spark, root, 2 * each))
     return files.read_layer(spark, f"{root}/out").select(F.col("timestamp").alias("reading_id"), "part")
 
 
@@ -911,7 +934,8 @@ def alerts_once_stream(spark, d):
     )).alias("value")
     twice = rows.select(sent).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
     for _ in range(2):
-        twice.coalesce(1).write.mode("append").parquet(f"{root}/in")
+        # as many files as tasks; without a rate limit all new ones are one batch
+        twice.write.mode("append").parquet(f"{root}/in")
         messages_in = messages.message_stream(spark, "parquet", {"path": f"{root}/in"}, schema=twice.schema)
         scored_rows = scoring.score_flood_stream(messages_in, risk_scorer, {"rainfall_mm": RAIN_FILL})
         _drain(scoring.alerts_once_stream(scored_rows, f"{root}/out", f"{root}/checkpoint", every=None))

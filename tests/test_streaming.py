@@ -9,9 +9,12 @@ from pyspark.sql import types as T
 
 from hazardflow.operators import points as P
 from hazardflow.operators.forest import train_forest
+from hazardflow.plans import catalog
 from hazardflow.plans.catalog import fire_risk_scorer, risk_scorer
+from hazardflow.plans.views import view
 from hazardflow.sources import messages, schemas
 from hazardflow.streaming import landing, scoring
+from tests.conftest import SF_DIR
 
 SMALL = T.StructType(
     [
@@ -298,3 +301,23 @@ def test_kafka_options(spark, monkeypatch):
         "format": "kafka", "subscribe": "t", "startingOffsets": "earliest",
         "failOnDataLoss": "false", "maxOffsetsPerTrigger": "10",
     }
+
+
+def test_exactly_so_many_files_are_written(spark, tmp_path):
+    rows = spark.range(40).select(F.col("id").cast("string").alias("value"))
+    for number, n in ((4, 40), (3, 1), (2, 0)):
+        path = f"{tmp_path}/{number}"
+        catalog._write_files(rows.limit(n), path, number)
+        written = spark.read.parquet(f"{path}/*")
+        assert len(written.inputFiles()) == number and written.count() == n
+
+
+def test_parts_of_several_files_are_a_batch_each(spark, monkeypatch):
+    monkeypatch.setattr(catalog, "ROWS_PER_FILE", 700)
+    total = view(spark, SF_DIR, "readings").count()
+    assert catalog._files_per_part(spark, SF_DIR) == -(-total // 2800) > 1
+    limited = catalog.rate_limited_stream(spark, SF_DIR).collect()
+    assert sorted((r["part"], r["batches"], r["stamps"]) for r in limited) == [(n, 1, 1) for n in range(4)]
+    assert sum(r["rows"] for r in limited) == total
+    assert tuple(catalog.triggered_stream(spark, SF_DIR).first()) == (total, 4, 0)
+    assert catalog.restarted_stream(spark, SF_DIR).count() == total
