@@ -113,14 +113,15 @@ def identity(spec: PointSpec) -> list[str]:
 POINT_PARTITIONS = ["date", "measurement"]
 
 
-def write_points(df: DataFrame, root: str, batch_id: int = 0) -> None:
+def write_points(df: DataFrame, root: str, batch_id: int = 0, as_dealt: bool = False) -> None:
     """Write points by date and measurement, so that a panel reads only the days it shows.
 
     Within those, a batch has a folder of its own: a retried batch replaces itself and no other.
+    `as_dealt` writes the tasks' rows as they are, for points of one day that a shuffle has just dealt out.
     """
     dated = df.withColumns({"date": F.to_date("time"), "batch_id": F.lit(batch_id).cast("bigint")})
     # Days go to as few files as their size allows, and a hot day to several.
-    laid_out = dated.hint("rebalance", *POINT_PARTITIONS)
+    laid_out = dated if as_dealt else dated.hint("rebalance", *POINT_PARTITIONS)
     writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*POINT_PARTITIONS, "batch_id").parquet(root)
 

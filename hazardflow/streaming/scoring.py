@@ -110,7 +110,9 @@ def parquet_sink(
         # Scoring runs once for both tables.
         batch = batch.persist()
         try:
-            write_points(points_of(batch), points_root, batch_id)
+            # Points of one stamp lie in one day: the shuffle of the identities has dealt them out already.
+            as_dealt = keys is not None and _one_day(shape(batch))
+            write_points(points_of(batch), points_root, batch_id, as_dealt)
             high_alerts(batch).write.mode("overwrite").parquet(batch_path(alerts_root, batch_id))
         finally:
             batch.unpersist()
@@ -118,6 +120,13 @@ def parquet_sink(
     return write
 
 
+def _one_day(points: DataFrame) -> bool:
+    """Whether all points are of one day; those without a time are a day of their own."""
+    day = F.to_date("time")
+    row = points.agg(F.min(day).alias("first"), F.max(day).alias("last"), F.count_if(day.isNull()).alias("none")).first()
+    return row["first"] == row["last"] and (row["first"] is None or not row["none"])
+
+
 def flood_points_shape(dim: DataFrame, keep: list[str] | None = None) -> Scorer:
     """Points of scored flood rows; the dimension is checked once, not per batch."""
     ready = location_lookup(dim)

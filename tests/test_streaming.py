@@ -321,3 +321,22 @@ def test_parts_of_several_files_are_a_batch_each(spark, monkeypatch):
     assert sum(r["rows"] for r in limited) == total
     assert tuple(catalog.triggered_stream(spark, SF_DIR).first()) == (total, 4, 0)
     assert catalog.restarted_stream(spark, SF_DIR).count() == total
+
+
+def test_points_of_one_day_are_shuffled_once(spark, tmp_path, monkeypatch):
+    rows = spark.createDataFrame(
+        [(k, f"2024-01-0{d} 0{k % 3}:00:00", float(k)) for d in (1, 2) for k in range(30)], "k int, at string, v double"
+    ).selectExpr("'m' as measurement", "k % 7 as k", "cast(at as timestamp_ntz) as time", "v", "'LOW' as alert_level", "1 as alert_level_num")
+    seen = []
+    write = scoring.write_points
+    monkeypatch.setattr(scoring, "write_points", lambda df, root, n, as_dealt: seen.append(as_dealt) or write(df, root, n, as_dealt))
+    one = rows.where("date(time) = '2024-01-01'")
+    lost = one.withColumn("time", F.when(F.col("k") > 0, F.col("time")))
+    for n, (batch, dealt) in enumerate([(one, True), (rows, False), (lost, False), (one.limit(0), True)]):
+        sink = scoring.parquet_sink(f"{tmp_path}/p{n}", f"{tmp_path}/a{n}", lambda b: b, ["k", "time"])
+        sink(batch, 0)
+        assert seen.pop() is dealt
+        if batch.count():
+            stored = spark.read.parquet(f"{tmp_path}/p{n}")
+            want = batch.groupBy("k", "time").agg(F.max("v").alias("v"))
+            assert sorted(map(str, stored.select("k", "time", "v").collect())) == sorted(map(str, want.collect()))
