@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hazardflow.llm import common
+from hazardflow.llm import common, line_dedup
 from hazardflow.llm.common import active_buckets, components, linked_buckets
 from hazardflow.llm.exact_dedup import exact_dedup
 from hazardflow.llm.hashing import words
@@ -267,3 +267,45 @@ def test_stored_tables_go_when_discarded(spark):
     left = {r["tableName"] for r in spark.sql("show tables").collect()}
     assert names - left == {table.stored_as}
     assert not any(os.path.exists(df.stored_at.removeprefix("file:")) for df in (made, table))
+
+
+def test_line_check_loses_no_link(spark, monkeypatch):
+    """Links by outlines and portions are those of all pairs, near the bound too."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for g in range(12):
+        base = "".join(rng.choice(list("abcdefghijklmnop "), 400))
+        for change in (0, 1, 2, 3, 4, 5, 7, 9, 14):
+            t = list(base)
+            for at in rng.choice(400, change, replace=False):
+                t[at] = "#"
+            rows.append((len(rows), "".join(t).strip()))
+    sets = [{t[i : i + 8] for i in range(len(t) - 7)} for _, t in rows]
+    joined = [(a, b) for a, b in itertools.combinations(range(len(rows)), 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    # links far above the bound are found for sure, so components of those must not come apart
+    sure = [(a, b) for a, b in joined if 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    outcomes = []
+    for portion in (10**6, 5):
+        monkeypatch.setattr(line_dedup, "PORTION", portion)
+        got = {r["doc_id"]: r["component"] for r in line_components(df).collect()}
+        outcomes.append(got)
+        assert all(got[a] == got[b] for a, b in sure)
+        want = classes(len(rows), joined)
+        assert all(want[a] == want[b] for a, b in itertools.combinations(range(len(rows)), 2) if got[a] == got[b])
+    assert outcomes[0] == outcomes[1]
+
+
+def test_outlines_leave_every_pair_of_the_similarity(spark):
+    """Repeated shingles count in n, and must not make a pair look less like than it is."""
+    texts = ["ab" * 60, "ab" * 50, "x" * 90, "x" * 8, "abc" * 40 + "q", "abc" * 30, "", "short", "the quick brown fox jumps over it", "the quick brown fox jumps over it."]
+    lines = spark.createDataFrame(list(enumerate(texts)), "id long, line string").select("id", F.encode("line", "UTF-16BE").alias("u"))
+    full = line_dedup._minima(lines, 1, 8, outline=True).join(lines.select("id", (line_dedup._last(8) + 1).alias("n")), "id")
+    x, y = full.alias("x"), full.alias("y")
+    left = {(r[0], r[1]) for r in x.crossJoin(y).where(line_dedup._within_reach(80)).select("x.id", "y.id").collect()}
+    sets = [{t[i : i + 8] for i in range(max(1, len(t) - 7))} for t in texts]
+    for a, b in itertools.product(range(len(texts)), repeat=2):
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            assert (a, b) in left
+    # lines without repeated shingles are told apart
+    assert (8, 2) not in left and (8, 4) not in left
